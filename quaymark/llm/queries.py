@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import exact_dedup as exact
-from quaymark.llm import packing, simhash, tokenizers_used, url_filter
+from quaymark.llm import packing, prefix_counts, simhash, tokenizers_used, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
 
 
+def op8_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.token_counts(_table(spark, sf_dir, "documents"), limit=4096)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"), digest=True)
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filter": op7_url_filter,
+    "op8_prefix_token_counts": op8_prefix_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
