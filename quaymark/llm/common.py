@@ -40,6 +40,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """``data`` as a file in the shared folder, by way of Spark's file systems; its address."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quaymark/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(data)
+    out.close()
+    return path.toString()
+
+
 def crc32_of(column: str) -> Column:
     """crc32 of a column's text, as the contracts' folds take it; null where the column is."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

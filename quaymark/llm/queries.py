@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import exact_dedup as exact
-from quaymark.llm import packing, prefix_counts, simhash, tokenizers_used, url_filter
+from quaymark.llm import lexicon_bpe, packing, prefix_counts, simhash, tokenizers_used, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json", whole=False)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizers_used.byte_bpe(), size=2048, end_id=0)
 
@@ -40,6 +44,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_lexicon_bpe": op3_lexicon_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filter": op7_url_filter,
     "op8_prefix_token_counts": op8_prefix_token_counts,
