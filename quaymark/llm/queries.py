@@ -6,13 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import exact_dedup as exact
-from quaymark.llm import lexicon_bpe, packing, prefix_counts, simhash, tokenizers_used, url_filter
+from quaymark.llm import common, lexicon_bpe, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Score from which on a document is good.
+GOOD = 0.7
+
+
+def quality_field(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_crf.Field:
+    """The quality field fitted on labelled rows outside the held-out fold."""
+    labels = _table(spark, sf_dir, "labels").filter(common.crc32_of("doc_id") % 4 != 2)
+    return quality_crf.train(docs, labels)
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality_crf.score(docs, quality_field(spark, docs, sf_dir))
+    return scored.select("doc_id", (common.crc32_of("doc_id") % 4 == 2).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -43,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_lexicon_bpe": op3_lexicon_bpe,
     "op6_best_fit_packing": op6_best_fit_packing,
