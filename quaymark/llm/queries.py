@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import exact_dedup as exact
-from quaymark.llm import common, lexicon_bpe, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter
+from quaymark.llm import common, html_main_text, lexicon_bpe, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op8_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.token_counts(_table(spark, sf_dir, "documents"), limit=4096)
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_main_text.main_text(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"), digest=True)
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filter": op7_url_filter,
     "op8_prefix_token_counts": op8_prefix_token_counts,
+    "op9_html_main_text": op9_html_main_text,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
