@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A key is hot from this share of all rows on, so that no more than HOT_KEYS keys can be hot.
@@ -40,6 +41,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, count: str, most: int) -> list:
+    """Rows of up to ``most`` of the most frequent keys, no more than that, however many tasks hold them.
+
+    Counts are put into classes of an eighth of an octave; as many whole classes as fit are taken. Keys that
+    occur once never are. Only these rows and the classes' sizes reach the driver.
+    """
+    held = staged(counts.filter(F.col(count) > 1), "frequent")
+    kind = F.floor(F.log2(F.col(count)) * 8).cast("int")
+    taken, least = 0, None
+    for r in sorted(held.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        if taken + r["n"] > most:
+            break
+        taken, least = taken + r["n"], r["kind"]
+    return [] if least is None else held.filter(kind >= least).collect()
+
+
 def shared_file(spark: SparkSession, name: str, data: bytes) -> str:
     """``data`` as a file in the shared folder, by way of Spark's file systems; its address."""
     jvm = spark.sparkContext._jvm
@@ -55,6 +72,17 @@ def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def rows_with(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Whole rows of ``docs`` whose id and text are a row of ``keys`` (``key_id``, ``key_text``: sha256 of the text, null as empty).
+
+    One row for each key: of several with the same id and text (whatever else they hold) one stays. Null ids match.
+    """
+    own = docs.withColumn("__text", F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    found = own.join(keys, own[id_col].eqNullSafe(keys["key_id"]) & (own["__text"] == keys["key_text"]), "left_semi")
+    nth = F.row_number().over(W.partitionBy(id_col, "__text").orderBy("__text"))
+    return found.withColumn("__nth", nth).filter("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """``rows`` left-joined with ``table``, one row of it a key at most, however many rows a key has.
 

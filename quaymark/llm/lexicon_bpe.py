@@ -29,11 +29,11 @@ from quaymark.llm.tokenizers_used import vocabulary_path
 LEXICON_WORDS = 1 << 16
 WORD_CHARS = 32
 #: Other words that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 #: Characters in which neither NFC, nor case, nor classes of characters differ between libraries.
 _PLAIN = re.compile("[\t\n\r -~¡-©«-±´¶-¸»¿-ÿŒœ‘-”–—…€]*")
-#: The tokenizer's own split, for texts of plain characters.
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: The tokenizer's own split, for texts of plain characters in lower case.
+_SPLIT = re.compile("[a-zß-öø-ÿœ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \t\n\r0-9a-zß-öø-ÿœ]+")
 
 
 class Transducer:
@@ -158,6 +158,7 @@ class WordBpe:
         self.rank = {tuple(pair): i for i, pair in enumerate(model["merges"])}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
+        self.shown = {i: str(i) for i in self.tokens}
         self.special = special
         self.special_split = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         # Byte to the character that stands for it, as the byte-level rule deals them.
@@ -180,15 +181,17 @@ class WordBpe:
         parts[-1] += self.end
         if len(parts) > 64:
             parts = self._merge_long(parts)
-        get, never = self.rank.get, len(self.rank)
-        while len(parts) > 1:
-            ranks = [get(p, never) for p in zip(parts, parts[1:], strict=False)]
-            low = min(ranks)
-            if low == never:
-                break
+        get, never, vocab = self.rank.get, len(self.rank), self.vocab
+        ranks = [get(p, never) for p in zip(parts, parts[1:], strict=False)]
+        while ranks and (low := min(ranks)) < never:
             at = ranks.index(low)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.vocab[p] for p in parts]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((parts[at - 1], parts[at]), never)
+            if at < len(ranks):
+                ranks[at] = get((parts[at], parts[at + 1]), never)
+        return [vocab[p] for p in parts]
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same merges from a heap, for words of which the square of the length is too much."""
@@ -210,42 +213,44 @@ class WordBpe:
         return [p for p, g in zip(parts, gone, strict=True) if not g]
 
     def entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])
+        shown, tokens = self.shown, self.tokens
+        return len(ids), " ".join([shown[i] for i in ids]), " ".join([tokens[i] for i in ids])
 
     def learn(self, words: set[str], lexicon: Transducer) -> None:
         """Look new words up in the lexicon, merge those that it hasn't."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         new = list(words)
         for word, number in zip(new, lexicon.numbers(new).tolist(), strict=True):
             self.known[word] = self.entry(lexicon.output(number) if number >= 0 else self.merge(word))
 
+    def pieces(self, text: str) -> list[str]:
+        """Words of a whole text in order; special strings as themselves, marked."""
+        if "<|" not in text or not self.special:
+            return self.words(text)
+        out: list[str] = []
+        for k, part in enumerate(self.special_split.split(text)):
+            out += ["\0\0" + part] if k % 2 else self.words(part)
+        return out
+
     def encode_all(self, texts: list[str], lexicon: Transducer) -> list[tuple[int, str, str]]:
-        """(number of ids, ids joined by a space, decoded text) of each text."""
+        """(number of ids, ids joined by a space, decoded text) of each text; their new words are learned together."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = [self.pieces(t) for t in texts]
+        need: set[str] = set()
+        for words in found:
+            need.update(words)
+        need.difference_update(known.keys())
+        marked = {w for w in need if w.startswith("\0\0")}
+        known.update((w, self.entry([self.special[w[2:]]])) for w in marked)
+        self.learn(need - marked, lexicon)
         out = []
-        for text in texts:
-            parts = self.special_split.split(text) if self.special_split and "<|" in text else [text]
-            found: list[str] = []
-            marks: list[tuple[int, str]] = []
-            for k, part in enumerate(parts):
-                if k % 2:
-                    marks.append((len(found), part))
-                    found.append("")
-                else:
-                    found += self.words(part)
-            for at, _ in marks:
-                found[at] = "\0\0"
-            need = {w for w in found if w not in self.known}
-            need.discard("\0\0")
-            if need:
-                self.learn(need, lexicon)
-            if marks or any(w not in self.known for w in need):
-                entries = [self.known.get(w) or (None if w == "\0\0" else self.entry(self.merge(w))) for w in found]
-                for at, mark in marks:
-                    entries[at] = self.entry([self.special[mark]])
+        for words in found:
+            if words:
+                n, ids, decoded = zip(*map(known.__getitem__, words), strict=True)
+                out.append((sum(n), " ".join(ids), " ".join(decoded)))
             else:
-                entries = [*map(self.known.__getitem__, found)]
-            out.append((sum([e[0] for e in entries]), " ".join([e[1] for e in entries]), " ".join([e[2] for e in entries])))
+                out.append((0, "", ""))
         return out
 
 
@@ -264,21 +269,27 @@ def word_counts(docs: DataFrame, text_col: str = "text", vocabulary: str = "word
     """(``word``, ``n``) over all texts, of words up to WORD_CHARS characters; tasks send sums, not words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = word_bpe(vocabulary)
+        split, found = word_bpe(vocabulary), Counter()
+
+        def batch() -> pa.RecordBatch:
+            held = [w for w in found if len(w) <= WORD_CHARS and not w.startswith("\0\0")]
+            return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array([found[w] for w in held], pa.int64())], names=["word", "n"])
+
         for b in batches:
-            found: Counter = Counter()
             for t in b.column(0):
-                for part in split.special_split.split(t.as_py() or "")[::2]:
-                    found.update(split.words(part))
-            held = [(w, n) for w, n in found.items() if len(w) <= WORD_CHARS]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.string()), pa.array([n for _, n in held], pa.int64())], names=["word", "n"])
+                found.update(split.pieces(t.as_py() or ""))
+                if len(found) > REMEMBERED:
+                    yield batch()
+                    found.clear()
+        if found:
+            yield batch()
 
     return docs.select(docs[text_col].cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def compile_lexicon(docs: DataFrame, text_col: str = "text", vocabulary: str = "word_bpe_49k.json", words: int = LEXICON_WORDS) -> str:
     """Build the transducer of the most frequent words of all texts; the name under which workers find its file."""
-    frequent = [r["word"] for r in word_counts(docs, text_col, vocabulary).orderBy(F.desc("n"), "word").limit(words).collect()]
+    frequent = [r["word"] for r in common.most_frequent(word_counts(docs, text_col, vocabulary), "n", words)]
     return ship(docs.sparkSession, Transducer.build({w: word_bpe(vocabulary).merge(w) for w in frequent}))
 
 
