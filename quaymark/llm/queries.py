@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import exact_dedup as exact
-from quaymark.llm import common, html_main_text, lexicon_bpe, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter, vector_graph
+from quaymark.llm import common, html_main_text, lexicon_bpe, lm_scoring, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json", whole=False)
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), common.crc32_of("doc_id") % 7 == 2)
+
+
 def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return vector_graph.search(vector_graph.build_index(vectors), vectors.filter(F.col("vec_id") % 20 == 0), k=20)
@@ -72,6 +76,7 @@ QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_lexicon_bpe": op3_lexicon_bpe,
+    "op4_context_mixing": op4_context_mixing,
     "op5_vector_graph": op5_vector_graph,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filter": op7_url_filter,
