@@ -1 +1 @@
-
+"""Column functions: canonical forms, digests, protection, redaction."""

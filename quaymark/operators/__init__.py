@@ -1 +1 @@
-
+"""Operators on DataFrames: decoding, applying, reconciling, dead letters, the cutover gate."""

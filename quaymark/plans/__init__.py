@@ -1 +1 @@
-
+"""Migration plans and the registered queries."""
