@@ -19,18 +19,25 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quaymark.llm import common
 from quaymark.llm.context_mixing import Code, Predictors, Topics
 
 #: Words with a symbol of their own, their longest size in bytes; slots of a hashed table.
 LEXICON, LEXICON_BYTES, SLOT_BITS = 1 << 16, 64, 21
+#: Training documents that the lexicon and its code are made from.
+LEXICON_DOCS = 20_000
 #: Topics, and the bounded sample that topics, weights and maps are fitted on.
-TOPICS, FIT_DOCS, FIT_CHARS, FIT_WORDS = 8, 2500, 16_000, 60_000
+TOPICS, FIT_DOCS, FIT_CHARS, FIT_WORDS = 8, 3000, 16_000, 60_000
 #: Bytes of context up to which the topic is part of it.
 SHORT = 3
+#: Words whose spelling one task learns.
+TASK_WORDS = 500_000
 #: Slots that travel together when tables of tasks are added up.
 _CHUNK = 1 << 16
 _LOG2_10 = math.log2(10)
@@ -61,26 +68,51 @@ class Lexicon:
 
 
 class Streams:
-    """Texts as symbols, laid end to end, with the contexts of each."""
+    """Texts as symbols, laid end to end, with their topics, the words outside the lexicon and the contexts of each symbol."""
+
+    def __init__(self, lexicon: Lexicon, sizes: np.ndarray, symbols: np.ndarray, topic: np.ndarray, rare: list[bytes]):
+        self.sizes, self.symbols, self.topic, self.rare = sizes, symbols, topic, rare
+        self.escaped = np.flatnonzero(symbols == lexicon.escape)
+        self.rare_sizes = np.add.reduceat(symbols == lexicon.escape, np.cumsum(sizes) - sizes, dtype=np.int64) if len(sizes) else sizes
+        last, ending = lexicon.hashes.take(symbols, mode="clip"), lexicon.endings.take(symbols, mode="clip")
+        last[self.escaped] = [*map(zlib.crc32, rare)]
+        ending[self.escaped] = [zlib.crc32(w[-3:]) for w in rare]
+        for a in (last, ending):  # of the word before; 1 (the end) before the first
+            a[1:] = a[:-1].copy()
+            a[:1] = 1
+        self.contexts = [topic, ending * np.uint32(16) + topic, last]
 
-    def __init__(self, lexicon: Lexicon, index: dict[bytes | None, int], topics: Topics, texts: list[list[bytes]]):
+    @classmethod
+    def of(cls, lexicon: Lexicon, index: dict[bytes | None, int], topics: Topics, texts: list[list[bytes]]) -> Streams:
         flat: list[bytes | None] = []
         for words in texts:
             flat += words
             flat.append(None)
-        self.sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        self.symbols = s = np.fromiter(map(index.get, flat, repeat(lexicon.escape)), dtype=np.int64, count=len(flat))
-        self.escaped = np.flatnonzero(s == lexicon.escape)
-        self.rare = [flat[i] for i in self.escaped.tolist()]
-        self.rare_sizes = np.add.reduceat(s == lexicon.escape, np.cumsum(self.sizes) - self.sizes, dtype=np.int64).tolist() if texts else []
-        self.topic = topics.before(s, self.sizes) if len(s) else np.zeros(0, dtype=np.uint32)
-        last, ending = lexicon.hashes[s], lexicon.endings[s]
-        last[self.escaped] = [*map(zlib.crc32, self.rare)]
-        ending[self.escaped] = [zlib.crc32(w[-3:]) for w in self.rare]
-        for a in (last, ending):  # of the word before; 1 (the end) before the first
-            a[1:] = a[:-1].copy()
-            a[:1] = 1
-        self.contexts = [self.topic, ending * np.uint32(16) + self.topic, last]
+        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        symbols = np.fromiter(map(index.get, flat, repeat(lexicon.escape)), dtype=np.int64, count=len(flat))
+        rare = [flat[i] for i in np.flatnonzero(symbols == lexicon.escape).tolist()]
+        topic = topics.before(symbols, sizes) if len(symbols) else np.zeros(0, dtype=np.uint32)
+        return cls(lexicon, sizes, symbols, topic, rare)
+
+    def packed(self) -> dict:
+        """What ``unpacked`` needs, as columns of a table's row."""
+        return {"sizes": self.sizes.astype("<i4").tobytes(), "symbols": self.symbols.astype("<i4").tobytes(), "topics": self.topic.astype("u1").tobytes(), "rare": b" ".join(self.rare)}
+
+    @classmethod
+    def unpacked(cls, lexicon: Lexicon, row: dict) -> Streams:
+        sizes, symbols = (np.frombuffer(row[k], dtype="<i4").astype(np.int64) for k in ("sizes", "symbols"))
+        return cls(lexicon, sizes, symbols, np.frombuffer(row["topics"], dtype="u1").astype(np.uint32), row["rare"].split())
+
+    def entries(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words outside the lexicon, each once, and of each text, word and topic that go together: text, word's place, topic, number."""
+        words = list(dict.fromkeys(self.rare))
+        place = {w: i for i, w in enumerate(words)}
+        ids = np.fromiter(map(place.__getitem__, self.rare), dtype=np.int64, count=len(self.rare))
+        text = np.repeat(np.arange(len(self.sizes)), self.rare_sizes)
+        key, n = np.unique((text * max(len(words), 1) + ids) * (TOPICS + 1) + self.topic[self.escaped], return_counts=True)
+        key, topic = np.divmod(key, TOPICS + 1)
+        text, ids = np.divmod(key, max(len(words), 1))
+        return words, text, ids, topic, n
 
     def keep(self, some: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Symbols and contexts of the texts for which ``some`` holds."""
@@ -115,13 +147,24 @@ def _byte_model(lexicon: Lexicon) -> Predictors:
     return Predictors(lexicon.letters, TOPICS + 1, 6, SLOT_BITS)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts, which are whole, in as few bytes as the largest needs."""
+    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if counts.max(initial=0) < 2 ** (8 * int(k[2])))
+    return kind[2].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(blob) -> np.ndarray:
+    raw = bytes(blob)
+    return np.frombuffer(zlib.decompress(raw[1:]), dtype=f"<u{raw[:1].decode()}")
+
+
 def _table_rows(model: Predictors) -> Iterator[tuple[int, int, bytes]]:
-    """Count tables in compressed chunks; chunks without counts aren't sent."""
+    """Count tables in chunks; chunks without counts aren't sent."""
     for t, counts in enumerate(model.counts):
         for c in range(0, len(counts), 2 * _CHUNK):
             part = counts[c : c + 2 * _CHUNK]
             if part.any():
-                yield t, c // (2 * _CHUNK), zlib.compress(part.tobytes(), 1)
+                yield t, c // (2 * _CHUNK), _packed(part)
 
 
 def _added_up(rows: DataFrame, model: Predictors) -> Predictors:
@@ -131,7 +174,7 @@ def _added_up(rows: DataFrame, model: Predictors) -> Predictors:
         key, total = None, None
         for b in batches:
             for t, c, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                part = np.frombuffer(zlib.decompress(blob.as_buffer()), dtype=np.float32)
+                part = _unpacked(blob.as_buffer())
                 if (t, c) != key:
                     if key is not None:
                         yield _chunk_batch(key, total)
@@ -143,47 +186,45 @@ def _added_up(rows: DataFrame, model: Predictors) -> Predictors:
     sums = rows.repartition("table", "chunk").sortWithinPartitions("table", "chunk").mapInArrow(run, "table int, chunk int, blob binary")
     for r in sums.toLocalIterator():  # of a fixed size, whatever the corpus
         at = r["chunk"] * 2 * _CHUNK
-        part = np.frombuffer(zlib.decompress(r["blob"]), dtype=np.float32)
+        part = _unpacked(r["blob"])
         model.counts[r["table"]][at : at + len(part)] = part
     return model
 
 
 def _chunk_batch(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
-    blob = zlib.compress(total.astype(np.float32).tobytes(), 1)
-    return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([blob], pa.binary())], names=["table", "chunk", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([_packed(total)], pa.binary())], names=["table", "chunk", "blob"])
 
 
 def _few_tasks(df: DataFrame) -> DataFrame:
-    """Twice as many tasks as cores at most, as each sends tables of a fixed size."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    """Fewer tasks, as each sends tables of a fixed size: eight splits each, or as many as there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-df.rdd.getNumPartitions() // 8)))
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """(``word`` binary, ``c``): how often each word is in texts that aren't held out."""
+def _chosen(docs: DataFrame, n: int, most_chars: int | None = None) -> DataFrame:
+    """Up to ``n`` training documents, the first by a hash of their id; ids alone are ordered, and a bounded list of them broadcast."""
+    few = ~F.col("held_out") & F.col("id").isNotNull() & (F.lit(True) if most_chars is None else F.length("text") <= most_chars)
+    order = F.xxhash64(F.col("id").cast("string"))
+    ids = docs.filter(few).select("id").distinct().orderBy(order, "id").limit(n)
+    return docs.filter(few).join(F.broadcast(ids), "id").select(order.alias("at"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
 
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
+def sampled_words(docs: DataFrame) -> DataFrame:
+    """(``word`` binary, ``c``) in LEXICON_DOCS training documents, from which lexicon and code are made; ``c`` isn't used for anything else."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            found: Counter = Counter()
             for t in b.column(0):
                 found.update(words_of(t.as_py()))
-                if len(found) > 1 << 19:
-                    yield batch()
-                    found.clear()
-        if found:
-            yield batch()
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
 
-    return docs.filter("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return _chosen(docs, LEXICON_DOCS).select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _sample(docs: DataFrame) -> list[list[bytes]]:
-    """Words of FIT_DOCS training texts of up to FIT_CHARS characters, the first by a hash of the id."""
-    order = F.xxhash64(F.col("id").cast("string"))
-    some = docs.filter(~F.col("held_out") & F.col("id").isNotNull() & (F.length("text") <= FIT_CHARS)).select("id").distinct().orderBy(order, "id").limit(FIT_DOCS)
-    rows = docs.filter(~F.col("held_out") & (F.length("text") <= FIT_CHARS)).join(F.broadcast(some), "id").select(order.alias("at"), "text").limit(2 * FIT_DOCS).collect()
+    """Words of FIT_DOCS training texts of up to FIT_CHARS characters."""
+    rows = _chosen(docs, FIT_DOCS, FIT_CHARS).limit(2 * FIT_DOCS).collect()
     return [words_of(t) for _, t in sorted((r["at"], r["text"]) for r in rows)]
 
 
@@ -200,49 +241,55 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     docs = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    vocab = common.staged(vocabulary(docs), "lm-vocabulary")
-    distinct, tokens = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     ends = docs.filter("NOT held_out").count()
-    total = tokens + ends
-    scale = math.log10(total + distinct + (ends > 0) + 1)
-    frequent = common.most_frequent(vocab.filter(F.octet_length("word") <= LEXICON_BYTES), "c", LEXICON)
+    counted = common.staged(sampled_words(docs), "lm-sampled")
+    tokens = counted.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    frequent = common.most_frequent(counted.filter(F.octet_length("word") <= LEXICON_BYTES), "c", LEXICON)
     frequent.sort(key=lambda r: (-r["c"], bytes(r["word"])))
-    lexicon = Lexicon([bytes(r["word"]) for r in frequent], [r["c"] for r in frequent], tokens - sum(r["c"] for r in frequent), ends)
+    share = min(ends, LEXICON_DOCS)
+    lexicon = Lexicon([bytes(r["word"]) for r in frequent], [r["c"] for r in frequent], tokens - sum(r["c"] for r in frequent), share)
     index = lexicon.index()
     sample = _sample(docs)
     topics = Topics([np.array([index.get(w, lexicon.escape) for w in t], dtype=np.int64) for t in sample], lexicon.end + 1, [lexicon.escape, lexicon.end], TOPICS)
 
     # All texts once: the training texts' tables, and every word that isn't in the lexicon, by topic.
     seen = common.staged(_observed(docs, lexicon, topics), "lm-observed")
-    words = _added_up(seen.filter("table IS NOT NULL").select("table", "chunk", "blob"), _word_model(lexicon))
+    model = _added_up(seen.filter("table IS NOT NULL").select("table", "chunk", "blob"), _word_model(lexicon))
     if sample:
-        laid = Streams(lexicon, index, topics, sample)
-        words.learn(laid.symbols, laid.contexts)
-    words = words.freeze()
+        laid = Streams.of(lexicon, index, topics, sample)
+        model.learn(laid.symbols, laid.contexts)
+    model = model.freeze()
+    own = {bytes(r["word"]): r["c"] for r in seen.filter("topic < 0").groupBy("word").agg(F.sum("n_train").alias("c")).collect()}
+    exact = np.array([*(own.get(w, 0) for w in lexicon.words), 0, ends], dtype=np.int64)
+    # One shuffle, by word, serves both groupings.
+    by_topic = seen.filter("topic >= 0").select("word", "topic", "n_train", "n_rows").repartition("word").groupBy("word", "topic").agg(F.sum("n_train").alias("n_train"), F.sum("n_rows").alias("n_rows"))
     rare = common.staged(
-        seen.filter("word IS NOT NULL").groupBy("word").agg(
-            F.sum("n_train").alias("c"), F.sum("n_rows").alias("rows"), F.bit_or(F.expr("shiftleft(1, topic)")).alias("topics"),
-            *[F.sum(F.when(F.col("topic") == k, F.col("n_train")).otherwise(0)).alias(f"own_{k}") for k in range(TOPICS + 1)],
-        ),
+        by_topic.groupBy("word").agg(F.sum("n_train").alias("c"), F.sum("n_rows").alias("rows"), F.collect_list("topic").alias("topics"), F.collect_list("n_train").alias("own"), F.collect_list("n_rows").alias("used")),
         "lm-rare",
     )
-    letters = _added_up(_few_tasks(rare.filter("c > 0")).mapInArrow(_byte_tables(lexicon), "table int, chunk int, blob binary"), _byte_model(lexicon))
-    fitted = rare.filter(F.col("c").between(1, 1000) & (F.octet_length("word") <= LEXICON_BYTES)).orderBy(F.xxhash64("word"), "word").limit(FIT_WORDS).collect()
-    if fitted:
-        spell, topic, own = _by_topic([bytes(r["word"]) for r in fitted], np.array([[r[f"own_{k}"] for k in range(TOPICS + 1)] for r in fitted]))
+    kinds, times, n_rows = rare.agg(F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    total = int(exact.sum()) + times
+    scale = math.log10(total + int((exact > 0).sum()) + kinds + 1)
+    # Tables of a fixed size pay for themselves over as many words.
+    letters = _added_up(rare.filter("c > 0").coalesce(-(-max(kinds, 1) // TASK_WORDS)).mapInArrow(_byte_tables(lexicon), "table int, chunk int, blob binary"), _byte_model(lexicon))
+    fitted = rare.filter(F.col("c").between(1, 1000) & (F.octet_length("word") <= LEXICON_BYTES)).orderBy(F.xxhash64("word"), "word").limit(FIT_WORDS).select("word", "topics", "own").toArrow()
+    if fitted.num_rows:
+        spell, topic, own = _trained(fitted["word"].combine_chunks(), fitted["topics"].combine_chunks(), fitted["own"].combine_chunks())
         symbols, contexts, sizes = spelled(spell, topic)
         letters.learn(symbols, contexts, np.repeat(own, sizes))
     letters = letters.freeze()
 
-    main = common.staged(_scored(docs, lexicon, topics, words), "lm-scored")
+    with common.batches_of(spark, 16):
+        main = common.staged(_scored(seen, docs.schema["id"].dataType.simpleString(), lexicon, model, exact), "lm-scored")
+    common.discard(seen)
     cost = common.staged(_spelled_cost(rare, letters), "lm-spelled")
-    n_rows = rare.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    common.discard(rare)
     used = main.select("rid", F.explode("rare").alias("r")).select("rid", "r.word", "r.topic", "r.n")
-    priced = common.lookup(used, cost, ["word"], "rows", n_rows)
+    priced = common.lookup(used, cost, ["word", "topic"], "rows", n_rows)
     sums = priced.groupBy("rid").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
         F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("base"),
-        F.sum(F.col("n") * F.element_at("bits", F.col("topic") + 1)).alias("bits"),
+        F.sum(F.col("n") * F.col("bits")).alias("bits"),
     )
     zero = F.lit(0.0)
     bits = F.col("main_bits") + F.coalesce("bits", zero)
@@ -257,61 +304,83 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
 
 
 def _observed(docs: DataFrame, lexicon: Lexicon, topics: Topics) -> DataFrame:
+    """All texts once. Rows of three kinds: parts of count tables; words with a topic (-1: of the lexicon) and their
+    numbers; texts as symbols, some hundred to a row, so that scoring need not read and split them again."""
     held = docs.sparkSession.sparkContext.broadcast((lexicon, topics))
-    schema = "table int, chunk int, blob binary, word binary, topic int, n_train long, n_rows long"
+    id_kind = docs.schema["id"].dataType
+    kinds = {
+        "table": pa.int32(), "chunk": pa.int32(), "blob": pa.binary(), "word": pa.binary(), "topic": pa.int32(), "n_train": pa.int64(), "n_rows": pa.int64(),
+        "docs": pa.list_(pa.struct([("rid", pa.int64()), ("id", to_arrow_type(id_kind)), ("held_out", pa.bool_()), ("n_bytes", pa.int64())])),
+        "sizes": pa.binary(), "symbols": pa.binary(), "topics": pa.binary(), "rare": pa.binary(),
+    }
+    schema = f"""table int, chunk int, blob binary, word binary, topic int, n_train long, n_rows long,
+        docs array<struct<rid: long, id: {id_kind.simpleString()}, held_out: boolean, n_bytes: long>>, sizes binary, symbols binary, topics binary, rare binary"""
+
+    def rows_of(n: int, columns: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in kinds.items()], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, topics = held.value
         index, model = lexicon.index(), _word_model(lexicon)
-        train: Counter = Counter()
-        rows: Counter = Counter()
+        rows: dict[tuple[bytes, int], int] = {}  # rows that have a word and topic, times 2 ** 32, and how often training texts do
+        whole = np.zeros(lexicon.end + 1, dtype=np.int64)
+        rid = TaskContext.get().partitionId() << 40
 
         def rare_batch() -> pa.RecordBatch:
-            n, keys = len(rows), list(rows)
-            columns = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array([w for w, _ in keys], pa.binary()), pa.array([t for _, t in keys], pa.int32()), pa.array([train[k] for k in keys], pa.int64()), pa.array([rows[k] for k in keys], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["table", "chunk", "blob", "word", "topic", "n_train", "n_rows"])
+            keys = list(rows)
+            return rows_of(len(keys), {"word": pa.array([w for w, _ in keys], pa.binary()), "topic": pa.array([t for _, t in keys], pa.int32()), "n_train": pa.array([v & 0xFFFFFFFF for v in rows.values()], pa.int64()), "n_rows": pa.array([v >> 32 for v in rows.values()], pa.int64())})
 
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
-                learned = np.array([not h for h in part.column(1).to_pylist()], dtype=bool)
-                laid = Streams(lexicon, index, topics, [words_of(t.as_py()) for t in part.column(0)])
-                model.observe(*laid.keep(learned))
-                where = laid.topic[laid.escaped].tolist()
-                done = 0
-                for n, learn in zip(laid.rare_sizes, learned.tolist(), strict=True):
-                    own = Counter(zip(laid.rare[done : done + n], where[done : done + n], strict=True))
-                    rows.update(own.keys())
-                    if learn:
-                        train.update(own)
-                    done += n
-                if len(rows) > 1 << 19:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                n_docs = part.num_rows
+                learned = ~part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                texts = [words_of(t.as_py()) for t in part.column(0)]
+                laid = Streams.of(lexicon, index, topics, texts)
+                symbols, contexts = laid.keep(learned)
+                model.observe(symbols, contexts)
+                whole += np.bincount(symbols, minlength=len(whole))
+                words, text, ids, topic, n = laid.entries()
+                key, first = np.unique(ids * (TOPICS + 1) + topic, return_inverse=True)
+                used = np.bincount(first, minlength=len(key)).tolist()
+                trained = np.bincount(first, n * learned[text], len(key)).astype(np.int64).tolist()
+                for k, a, c in zip(key.tolist(), used, trained, strict=True):
+                    k = (words[k // (TOPICS + 1)], k % (TOPICS + 1))
+                    rows[k] = rows.get(k, 0) + (a << 32) + c
+                if len(rows) > 1 << 18:
                     yield rare_batch()
                     rows.clear()
-                    train.clear()
+                of = pa.StructArray.from_arrays([pa.array(range(rid, rid + n_docs), pa.int64()), part.column(2), part.column(1), pc.binary_length(part.column(0)).cast(pa.int64())], names=["rid", "id", "held_out", "n_bytes"])
+                rid += n_docs
+                yield rows_of(1, {"docs": pa.ListArray.from_arrays(pa.array([0, n_docs], pa.int32()), of)} | {k: pa.array([v], pa.binary()) for k, v in laid.packed().items()})
+        # Words of the lexicon under topic -1.
         if rows:
             yield rare_batch()
+            rows.clear()
+        if lexicon.words:
+            n = len(lexicon.words)
+            yield rows_of(n, {"word": pa.array(lexicon.words, pa.binary()), "topic": pa.array([-1] * n, pa.int32()), "n_train": pa.array(whole[:n]), "n_rows": pa.array([0] * n, pa.int64())})
         for t, c, blob in _table_rows(model):
-            columns = [pa.array([t], pa.int32()), pa.array([c], pa.int32()), pa.array([blob], pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["table", "chunk", "blob", "word", "topic", "n_train", "n_rows"])
+            yield rows_of(1, {"table": pa.array([t], pa.int32()), "chunk": pa.array([c], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
-    return _few_tasks(docs.select("text", "held_out")).mapInArrow(run, schema)
+    return _few_tasks(docs.select("text", "held_out", "id")).mapInArrow(run, schema)
 
 
-def _by_topic(words: list[bytes], own: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _trained(words: pa.Array, topics: pa.Array, own: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Each word for each topic that has it in training texts: words, topics, counts."""
-    row, topic = np.nonzero(own)
-    return [words[i] for i in row], topic, own[row, topic].astype(np.float64)
+    row = np.repeat(np.arange(len(words)), np.diff(topics.offsets.to_numpy()))
+    topic, n = topics.flatten().to_numpy(), own.flatten().to_numpy().astype(np.float64)
+    some = n > 0
+    return words.take(pa.array(row[some])).to_pylist(), topic[some], n[some]
 
 
 def _byte_tables(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _byte_model(lexicon)
         for b in batches:
-            own = np.column_stack([b.column(f"own_{k}").to_numpy() for k in range(TOPICS + 1)])
-            words = b.column("word").to_pylist()
-            for at in range(0, len(words), 1 << 15):
-                spell, topic, n = _by_topic(words[at : at + (1 << 15)], own[at : at + (1 << 15)])
+            for at in range(0, b.num_rows, 1 << 14):
+                part = b.slice(at, 1 << 14)
+                spell, topic, n = _trained(part.column("word"), part.column("topics"), part.column("own"))
                 symbols, contexts, sizes = spelled(spell, topic)
                 model.observe(symbols, contexts, np.repeat(n, sizes))
         for t, c, blob in _table_rows(model):
@@ -320,55 +389,45 @@ def _byte_tables(lexicon: Lexicon):
     return run
 
 
-def _scored(docs: DataFrame, lexicon: Lexicon, topics: Topics, words: Predictors) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast((lexicon, topics, words))
-    kind = docs.schema["id"].dataType.simpleString()
+def _scored(seen: DataFrame, id_kind: str, lexicon: Lexicon, words: Predictors, exact: np.ndarray) -> DataFrame:
+    """A row per text of the streams in ``seen``: what its symbols cost, and its words outside the lexicon."""
+    held = seen.sparkSession.sparkContext.broadcast((lexicon, words, exact))
     names = ["rid", "id", "held_out", "n_bytes", "n_tokens", "main_known", "main_base", "main_bits", "rare"]
-    schema = f"rid long, id {kind}, held_out boolean, n_bytes long, n_tokens long, main_known long, main_base double, main_bits double, rare array<struct<word: binary, topic: int, n: int>>"
-    struct = pa.struct([("word", pa.binary()), ("topic", pa.int32()), ("n", pa.int32())])
+    schema = f"rid long, id {id_kind}, held_out boolean, n_bytes long, n_tokens long, main_known long, main_base double, main_bits double, rare array<struct<word: binary, topic: int, n: int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, topics, words = held.value
-        index = lexicon.index()
-        price = np.log10(lexicon.counts + 1.0)
-        price[lexicon.escape] = 0
-        known = lexicon.counts > 0
-        known[lexicon.escape] = False
+        lexicon, words, exact = held.value
+        price, known = np.log10(exact + 1.0), (exact > 0).astype(np.int64)  # the escape's count is 0
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                texts = [t.as_py() for t in part.column(2)]
-                laid = Streams(lexicon, index, topics, [words_of(t) for t in texts])
+            for at in range(b.num_rows):
+                part = b.slice(at, 1)
+                laid = Streams.unpacked(lexicon, {k: part.column(k)[0].as_py() for k in ("sizes", "symbols", "topics", "rare")})
+                of = part.column("docs").flatten()
                 starts = np.cumsum(laid.sizes) - laid.sizes
                 bits = np.add.reduceat(words.bits_of(laid.symbols, laid.contexts), starts)
-                where, done, rare = laid.topic[laid.escaped].tolist(), 0, []
-                for n in laid.rare_sizes:
-                    own = Counter(zip(laid.rare[done : done + n], where[done : done + n], strict=True))
-                    rare.append([{"word": w, "topic": t, "n": k} for (w, t), k in own.items()])
-                    done += n
-                sums = [np.add.reduceat(x[laid.symbols], starts) for x in (known.astype(np.int64), price)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(3), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(laid.sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(bits), pa.array(rare, pa.list_(struct))],
-                    names=names,
-                )
+                kinds, text, ids, topic, n = laid.entries()
+                entry = pa.StructArray.from_arrays([pa.array(kinds, pa.binary()).take(pa.array(ids)), pa.array(topic, pa.int32()), pa.array(n, pa.int32())], names=["word", "topic", "n"])
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(starts) + 1)), pa.int32()), entry)
+                sums = [np.add.reduceat(x.take(laid.symbols), starts) for x in (known, price)]
+                yield pa.RecordBatch.from_arrays([*of.flatten(), pa.array(laid.sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(bits), rare], names=names)
 
-    return docs.select(F.monotonically_increasing_id().alias("rid"), "id", "text", "held_out").mapInArrow(run, schema)
+    return seen.filter("symbols IS NOT NULL").select("docs", "sizes", "symbols", "topics", "rare").mapInArrow(run, schema)
 
 
 def _spelled_cost(rare: DataFrame, letters: Predictors) -> DataFrame:
-    """(``word``, ``c``, ``rows``, ``bits`` by topic) of each word outside the lexicon."""
+    """(``word``, ``topic``, ``c``, ``rows``, ``bits``) of each word outside the lexicon in each topic that has it."""
     held = rare.sparkSession.sparkContext.broadcast(letters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                part = b.slice(at, 2048)
-                words, mask = part.column("word").to_pylist(), part.column("topics").to_numpy()
-                row, topic = np.nonzero(mask[:, None] >> np.arange(TOPICS + 1) & 1)
-                symbols, contexts, sizes = spelled([words[i] for i in row], topic)
-                out = np.zeros((len(words), TOPICS + 1))
-                out[row, topic] = np.add.reduceat(model.bits_of(symbols, contexts), np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays([part.column("word"), part.column("c"), part.column("rows"), pa.array(list(out), pa.list_(pa.float64()))], names=["word", "c", "rows", "bits"])
-
-    return rare.select("word", "c", "rows", "topics").mapInArrow(run, "word binary, c long, rows long, bits array<double>")
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                topics, used = part.column("topics"), part.column("used")
+                row = pa.array(np.repeat(np.arange(part.num_rows), np.diff(topics.offsets.to_numpy())))
+                words, topic = part.column("word").take(row), topics.flatten()
+                symbols, contexts, sizes = spelled(words.to_pylist(), topic.to_numpy())
+                bits = np.add.reduceat(model.bits_of(symbols, contexts), np.cumsum(sizes) - sizes)
+                yield pa.RecordBatch.from_arrays([words, topic, part.column("c").take(row), used.flatten(), pa.array(bits)], names=["word", "topic", "c", "rows", "bits"])
+
+    return rare.select("word", "topics", "c", "used").mapInArrow(run, "word binary, topic int, c long, rows long, bits double")
