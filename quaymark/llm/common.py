@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -38,7 +40,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quaymark/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._staged_at)
+    path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of no more rows while a table of large rows is read and staged; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def most_frequent(counts: DataFrame, count: str, most: int) -> list:
@@ -72,14 +94,20 @@ def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A hash of a row's id and text (nulls have their own, but a null text is as empty) that is never null."""
+    return F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256)
+
+
 def rows_with(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Whole rows of ``docs`` whose id and text are a row of ``keys`` (``key_id``, ``key_text``: sha256 of the text, null as empty).
+    """Whole rows of ``docs`` whose ``row_key`` is in ``keys`` (``key``, distinct), one row for each.
 
-    One row for each key: of several with the same id and text (whatever else they hold) one stays. Null ids match.
+    Of several rows with the same id and text, whatever else they hold, one stays. The join and the choice
+    share one shuffle.
     """
-    own = docs.withColumn("__text", F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
-    found = own.join(keys, own[id_col].eqNullSafe(keys["key_id"]) & (own["__text"] == keys["key_text"]), "left_semi")
-    nth = F.row_number().over(W.partitionBy(id_col, "__text").orderBy("__text"))
+    own = docs.withColumn("__key", row_key(id_col, text_col))
+    found = own.join(keys.select(F.col("key").alias("__key")), "__key", "left_semi")
+    nth = F.row_number().over(W.partitionBy("__key").orderBy("__key"))
     return found.withColumn("__nth", nth).filter("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -19,7 +19,7 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 128, digest: bool = False, text_key: bool = False) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 128, digest: bool = False, keyed: bool = False) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept`` and, with ``digest``, ``text_sha256``.
 
     Rows are equal when their normalised texts are (see ``normalised``). The first pass groups all rows by
@@ -33,7 +33,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are not read. An empty table gives an empty result.
     """
     norm = normalised(text_col)
-    key = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) if text_key else F.lit(None).cast("string")
+    key = common.row_key(id_col, text_col) if keyed else F.lit(None).cast("string")
     sized = docs.select(F.col(id_col).alias("__id"), key.alias("__key"), norm.alias("__norm")).select(
         "__id", "__key", "__norm", F.length("__norm").alias("__len"), F.xxhash64(F.length("__norm"), F.substring("__norm", 1, prefix_chars)).alias("__pre")
     )
@@ -66,10 +66,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (~grouped | (F.col("__keep_at") == F.col("__at"))).alias("kept"),
     ]
     more = [F.lower(F.hex("__sha")).alias("text_sha256")] if digest else []
-    return found.select(*out, *more, *([F.col("__key").alias("key_text")] if text_key else []))
+    return found.select(*out, *more, *([F.col("__key").alias("key")] if keyed else []))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``exact_dedup`` keeps: one of each group of equal texts."""
-    kept = exact_dedup(docs, id_col, text_col, text_key=True).filter("kept")
-    return common.rows_with(docs, kept.select(F.col(id_col).alias("key_id"), "key_text"), id_col, text_col)
+    kept = exact_dedup(docs, id_col, text_col, keyed=True).filter("kept").select("key").distinct()
+    return common.rows_with(docs, kept, id_col, text_col)

@@ -45,16 +45,15 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(``id_col``, ``key_text``: sha256 of the text, ``fp`` long: the fingerprint's bits) of each row."""
+    """(``id_col``, ``key``: the row's ``common.row_key``, ``fp`` long: the fingerprint's bits) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, width) for t in (x.as_py() for x in b.column(1))), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=[id_col, "key_text", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=[id_col, "key", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    key = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")), 256)
-    return docs.select(docs[id_col], docs[text_col], key.alias("key")).mapInArrow(run, f"`{id_col}` {kind}, key_text string, fp long")
+    return docs.select(docs[id_col], docs[text_col], common.row_key(id_col, text_col).alias("key")).mapInArrow(run, f"`{id_col}` {kind}, key string, fp long")
 
 
 def _masks(distance: int, blocks: int) -> list[int]:
@@ -176,16 +175,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
     """One row per input row: id, ``fp`` (long), ``component_id`` (smallest id reachable by links, its own
-    included), ``key_text`` (sha256 of the text), ``first`` (whether it stays if one of each component does).
+    included), ``key`` (``common.row_key``), ``first`` (whether it stays if one of each component does).
 
     Rows with fingerprints at ``distance`` or fewer differing bits are linked. Equal fingerprints count as
     one node from the start. Null texts have fingerprint 0 like texts without words, and are linked like any
-    other. Null ids come after all others. Of rows with the same smallest id the smallest ``key_text`` is
+    other. Null ids come after all others. Of rows with the same smallest id the smallest ``key`` is
     first; rows alike in both are first together. Other columns aren't read. An empty table gives an empty
     result.
     """
     prints = common.staged(fingerprints(docs, id_col, text_col, width), "simhash-prints")
-    order = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("key_text").alias("text"))
+    order = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("key").alias("key"))
     distinct = common.staged(prints.groupBy("fp").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("rows")), "simhash-distinct")
     reach = common.staged(components(links(distinct.select("fp"), distance)), "simhash-reach")
     rooted = distinct.join(reach, distinct["fp"] == reach["node"], "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root"))
@@ -193,11 +192,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sums = common.staged(rooted.groupBy("root").agg(F.min("least").alias("best"), F.count(F.lit(1)).alias("members")), "simhash-roots")
     named = common.lookup(rooted.select("fp", "rows", "root"), sums, ["root"], "members", rooted.count()).select("fp", "rows", "best")
     found = common.lookup(prints, common.staged(named, "simhash-named"), ["fp"], "rows", prints.count())
-    first = F.col(id_col).eqNullSafe(F.col("best.id")) & (F.col("key_text") == F.col("best.text"))
-    return found.select(id_col, "fp", F.col("best.id").alias("component_id"), "key_text", first.alias("first"))
+    return found.select(id_col, "fp", F.col("best.id").alias("component_id"), "key", (F.col("key") == F.col("best.key")).alias("first"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are first of their component, one of each."""
-    kept = near_duplicates(docs, id_col, text_col, width, distance).filter("first").select(F.col(id_col).alias("key_id"), "key_text").distinct()
+    kept = near_duplicates(docs, id_col, text_col, width, distance).filter("first").select("key").distinct()
     return common.rows_with(docs, kept, id_col, text_col)
