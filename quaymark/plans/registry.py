@@ -438,6 +438,39 @@ def window_rejections(spark, sf_dir):
     return window.problems(_window(spark, sf_dir)[0], ["user_id"])
 
 
+# The same over the whole table: chunks of all events, marks of every chunk that there is.
+_ALL_CHUNKS = """chunk AS (SELECT (event_id // 1000)::VARCHAR AS chunk_id, event_id AS ord, user_id, value FROM events),
+    marks AS (SELECT DISTINCT (event_id // 1000 * 1000)::BIGINT + 300 AS low, (event_id // 1000 * 1000)::BIGINT + 420 AS high, (event_id // 1000)::VARCHAR AS chunk_id FROM events),
+    gone AS (SELECT c.chunk_id, c.ord FROM chunk c JOIN marks m USING (chunk_id) WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.user_id AND e.event_id > m.low AND e.event_id < m.high))"""
+
+
+def _whole_window(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    e = fx.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    chunk = e.select(F.floor(i / 1000).cast("string").alias("chunk_id"), i.alias("ord"), "user_id", "value")
+    at = F.col("chunk_id").cast("long") * 1000
+    marks = chunk.select("chunk_id").distinct().select("chunk_id", (at + 300).alias("low"), (at + 420).alias("high"))
+    return chunk, window.survivors(chunk, e.select("user_id", i.alias("lsn")), marks, ["user_id"])
+
+
+@query(f"WITH {_ALL_CHUNKS} SELECT c.* FROM chunk c LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord WHERE g.ord IS NULL")
+def window_eviction_all(spark, sf_dir):
+    return _whole_window(spark, sf_dir)[1]
+
+
+@query(
+    f"""WITH {_ALL_CHUNKS} SELECT c.chunk_id, count(*) AS rows_buffered, count(*) - count(g.ord) AS rows_emitted, count(g.ord) AS rows_evicted
+        FROM chunk c LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord GROUP BY 1"""
+)
+def window_stats_all(spark, sf_dir):
+    return window.stats(*_whole_window(spark, sf_dir))
+
+
+@query(f"WITH {_ALL_CHUNKS} SELECT DISTINCT chunk_id, 'chunk has a key twice; chunk boundaries overlap' AS problem FROM (SELECT chunk_id, user_id FROM chunk GROUP BY ALL HAVING count(*) > 1)")
+def window_rejections_all(spark, sf_dir):
+    return window.problems(_whole_window(spark, sf_dir)[0], ["user_id"])
+
+
 # Protection. Keys of these queries are for tests.
 
 _MASTER = bytes(range(32))
