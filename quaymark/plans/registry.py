@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -338,6 +341,44 @@ def staging_merge(spark, sf_dir):
     return apply.merge_part(target, part, ["user_id"], ["value"], 4950, F.timestamp_seconds(F.lit(0))).drop(META_UPDATED)
 
 
+#: All batches of the log, out of order.
+_BATCHES = [b * 5 % 13 for b in range(13)]
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, if need be one of our own, and read again."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        own = tempfile.mkdtemp(prefix="quaymark-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or own)
+    return df.checkpoint()
+
+
+@query(
+    f"""WITH {_LOG}, a AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, batch DESC, "offset" DESC) = 1)
+        SELECT user_id, CASE WHEN op = 'd' THEN NULL ELSE value END AS value, lsn AS _mig_lsn, op = 'd' AS _mig_deleted FROM a"""
+)
+def fence_merge_all_batches(spark, sf_dir):
+    """All batches applied one after the other by the merge that the applier uses, the target written between them."""
+    log = fx.change_log(spark, sf_dir).select("user_id", "op", "lsn", "batch", "offset", "value", "props")
+    target = _empty_target(spark)
+    for b in range(13):
+        newest = apply.coalesce_newest(log.filter(F.col("batch") == b), ["user_id"], ["lsn", "offset"])
+        target = _checkpointed(apply.fence_merge(target, newest, ["user_id"], ["value", "props"], F.timestamp_seconds(F.lit(b))))
+    return target.select("user_id", F.when(~F.col(META_DELETED), F.col("value")).alias("value"), META_LSN, META_DELETED)
+
+
+@query(f"""WITH {_LOG} SELECT 'app' AS topic, "partition", max("offset") AS last_offset, arg_max(lsn, "offset") AS last_lsn FROM log GROUP BY 2""")
+def offset_upsert_all_batches(spark, sf_dir):
+    """Offsets advanced over all batches, out of order."""
+    log = fx.change_log(spark, sf_dir)
+    stored = apply.high_water_marks(log.filter(F.col("batch") == _BATCHES[0]))
+    for b in _BATCHES[1:]:
+        stored = _checkpointed(apply.advance_offsets(stored, apply.high_water_marks(log.filter(F.col("batch") == b)), ["topic", "partition"]))
+    return stored
+
+
 @query(f"""WITH {_LOG}, t AS (SELECT op = 'd' AS dead FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, batch DESC, "offset" DESC) = 1) SELECT count(*) FILTER (NOT dead) AS live_rows FROM t""")
 def purge_tombstones(spark, sf_dir):
     log = fx.change_log(spark, sf_dir).select("user_id", "op", "lsn", "batch", "offset")
