@@ -6,8 +6,9 @@ import atexit
 import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,14 +17,23 @@ from pyspark.sql import functions as F
 #: A key is hot from this share of all rows on, so that no more than HOT_KEYS keys can be hot.
 HOT_KEYS = 1000
 
+#: Bits of a map of hashes: at least, at most (32 MB when full). Sixteen for each hash where the bound allows it.
+MAP_BITS = (15, 28)
+#: Bits that one row of bitmap_construct_agg holds.
+_ROW_BITS = 32768
+
 _own: dict[str, str] = {}
+_held = threading.local()
+_left: list[DataFrame] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else (as in tests) one of our own."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session, as in tests, may do without."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="quaymark-")
@@ -42,6 +52,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    scopes = getattr(_held, "scopes", None)
+    (scopes[-1] if scopes else _left).append(out)
     return out
 
 
@@ -51,6 +63,54 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, staged; all tables that were staged on the way are deleted once it is written.
+
+    Calls nest: what an inner call leaves is deleted with what the outer one staged.
+    """
+    if not hasattr(_held, "scopes"):
+        _held.scopes = []
+    scopes = _held.scopes
+    scopes.append([])
+    out = None
+    try:
+        out = staged(make(), name)
+    finally:
+        for table in scopes.pop():
+            if table is not out:
+                discard(table)
+    (scopes[-1] if scopes else _left).append(out)
+    return out
+
+
+def release() -> None:
+    """Delete what queries of this process left staged: their results, which nothing reads any more."""
+    while _left:
+        with contextlib.suppress(Exception):  # a session that has ended deletes nothing
+            discard(_left.pop())
+
+
+atexit.register(release)
+
+
+class Bitmap:
+    """Which hashes a table may have: a broadcast of at most 32 MB, however many there are. A miss is certain."""
+
+    def __init__(self, hashes: DataFrame):
+        """hashes: one column, long, distinct."""
+        self.bits = min(max((16 * hashes.count() - 1).bit_length(), MAP_BITS[0]), MAP_BITS[1])
+        place = F.pmod(F.col(hashes.columns[0]), F.lit(1 << self.bits))
+        self.rows = hashes.groupBy(F.floor(place / _ROW_BITS).alias("__row")).agg(F.bitmap_construct_agg(F.pmod(place, F.lit(_ROW_BITS))).alias("__bits"))
+
+    def mark(self, df: DataFrame, hash_: str, name: str) -> DataFrame:
+        """``df`` with a boolean column ``name``: whether the hash may be there."""
+        place = F.pmod(F.col(hash_), F.lit(1 << self.bits))
+        bit = F.pmod(place, F.lit(_ROW_BITS))
+        octet = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        hit = F.coalesce(F.getbit(octet, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+        return df.withColumn("__row", F.floor(place / _ROW_BITS)).join(F.broadcast(self.rows), "__row", "left").withColumn(name, hit).drop("__row", "__bits")
+
+
 @contextlib.contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of no more rows while a table of large rows is read and staged; the session's own setting comes back."""
@@ -99,16 +159,21 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256)
 
 
-def rows_with(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Whole rows of ``docs`` whose ``row_key`` is in ``keys`` (``key``, distinct), one row for each.
+def rows_kept(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, whole, whose ``row_key`` was ``kept``; ``decided`` has a ``key`` and ``kept`` for each row.
 
-    Of several rows with the same id and text, whatever else they hold, one stays. The join and the choice
-    share one shuffle.
+    Of several rows with the same id and text, whatever else they hold, one stays. Only rows whose key is in
+    ``decided`` as dropped or more than once (or seems so: see ``Bitmap``) are shuffled, and of those with the
+    same key one per task. Columns may have any names: they travel as one struct.
     """
-    own = docs.withColumn("__key", row_key(id_col, text_col))
-    found = own.join(keys.select(F.col("key").alias("__key")), "__key", "left_semi")
-    nth = F.row_number().over(W.partitionBy("__key").orderBy("__key"))
-    return found.withColumn("__nth", nth).filter("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    marks = decided.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")).filter("n > 1 OR NOT kept")
+    marks = staged(marks.select("key", "kept", F.xxhash64("key").alias("hash")), "marks")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("key"))
+    own = Bitmap(marks.select("hash").distinct()).mark(own.withColumn("hash", F.xxhash64("key")), "hash", "hit")
+    nth = F.row_number().over(W.partitionBy("key").orderBy("key"))
+    first = own.filter("hit").withColumn("nth", nth).filter("nth = 1").join(marks.select("key", "kept").hint("shuffle_merge"), "key", "left")
+    rows = own.filter("NOT hit").select("row").unionByName(first.filter("coalesce(kept, true)").select("row"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:

@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from quaymark.llm import common
 
-#: Bits of the map of (length, prefix) pairs that more than one row has: 4 MB when full.
-MAP_BITS = 25
-#: Bits that one row of bitmap_construct_agg holds.
-_ROW_BITS = 32768
-
-
 def normalised(text: str) -> Column:
     """Null as empty, every run of ``[\\x20\\x09-\\x0D]`` as one space."""
     # Single spaces, the bulk of all runs, already are what they become.
@@ -24,8 +18,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are equal when their normalised texts are (see ``normalised``). The first pass groups all rows by
     length and hash of a prefix; the second pass hashes the whole text only of rows whose pair of these
-    more than one row has, and groups them by the hash. Which rows these are is read off a bitmap of at
-    most 4 MB, broadcast: texts are never shuffled, and a false hit costs one hash. ``digest`` asks for the
+    more than one row has, and groups them by the hash. Which rows these are is read off a bitmap, broadcast,
+    which is sized by the number of such pairs (``common.Bitmap``): texts are never shuffled, and a false hit
+    costs one hash. ``digest`` asks for the
     hash of every row.
 
     Null texts count as empty; empty texts are equal to each other. Null ids come after all others. Of rows
@@ -37,15 +32,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = docs.select(F.col(id_col).alias("__id"), key.alias("__key"), norm.alias("__norm")).select(
         "__id", "__key", "__norm", F.length("__norm").alias("__len"), F.xxhash64(F.length("__norm"), F.substring("__norm", 1, prefix_chars)).alias("__pre")
     )
-    place = F.pmod(F.col("__pre"), F.lit(1 << MAP_BITS))
-    several = (
-        sized.groupBy("__len", "__pre").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-        .withColumn("__row", F.floor(place / _ROW_BITS)).groupBy("__row").agg(F.bitmap_construct_agg(F.pmod(place, F.lit(_ROW_BITS))).alias("__bits"))
-    )
-    bit = F.pmod(place, F.lit(_ROW_BITS))
-    octet = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.getbit(octet, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
-    marked = sized.withColumn("__row", F.floor(place / _ROW_BITS)).join(F.broadcast(several), "__row", "left").withColumn("__hit", hit)
+    several = sized.groupBy("__len", "__pre").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__pre").distinct()
+    marked = common.Bitmap(common.staged(several, "exact-several")).mark(sized, "__pre", "__hit")
     whole = F.unhex(F.sha2(F.col("__norm"), 256))
     rows = common.staged(
         marked.select("__id", "__key", "__len", "__hit", F.when(F.lit(digest) | F.col("__hit"), whole).alias("__sha"), F.monotonically_increasing_id().alias("__at")),
@@ -71,5 +59,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``exact_dedup`` keeps: one of each group of equal texts."""
-    kept = exact_dedup(docs, id_col, text_col, keyed=True).filter("kept").select("key").distinct()
-    return common.rows_with(docs, kept, id_col, text_col)
+    return common.rows_kept(docs, exact_dedup(docs, id_col, text_col, keyed=True), id_col, text_col)

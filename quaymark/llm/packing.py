@@ -174,13 +174,16 @@ def pieces(docs: DataFrame, encoder, size: int = 2048, end_id: int = 0, id_col:
 
 
 def place(cut: DataFrame, size: int = 2048) -> DataFrame:
-    """``cut`` (of ``pieces``) with ``sequence_id`` and ``offset`` in place of ``part`` and ``nth``."""
+    """``cut`` (of ``pieces``) with ``sequence_id`` and ``offset`` in place of ``part`` and ``nth``.
+
+    The table of ranks has a row per task and length, which grows with the input: it is merged, not broadcast.
+    """
     cut = common.staged(cut, "pack-pieces")  # fixes part and nth
     held = common.staged(cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     totals = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``size`` rows
     table = slots(plan(totals, size))
     before = held.withColumn("before", F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)))
-    ranked = cut.join(before.select("part", "length", F.coalesce("before", F.lit(0)).alias("before")), ["part", "length"])
+    ranked = cut.join(before.select("part", "length", F.coalesce("before", F.lit(0)).alias("before")).hint("shuffle_merge"), ["part", "length"])
     out = [c for c in cut.columns if c not in ("part", "nth")]
     length_at = out.index("length")
     key = table[:, 0] << 48 | table[:, 1]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,19 @@ from quaymark.llm import exact_dedup as exact
 from quaymark.llm import common, html_main_text, lexicon_bpe, lm_scoring, packing, prefix_counts, quality_crf, simhash, tokenizers_used, url_filter, vector_graph
 
 
+def _whole(name: str):
+    """A query whose result is staged, so that nothing else that it staged is left."""
+
+    def wrap(query):
+        @functools.wraps(query)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return common.finished(lambda: query(spark, sf_dir), name)
+
+        return run
+
+    return wrap
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,30 +38,37 @@ def quality_field(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_
     return quality_crf.train(docs, labels)
 
 
+@_whole("op1_quality_crf")
 def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = quality_crf.score(docs, quality_field(spark, docs, sf_dir))
-    return scored.select("doc_id", (common.crc32_of("doc_id") % 4 == 2).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+    held = F.coalesce(common.crc32_of("doc_id") % 4 == 2, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+@_whole("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_whole("op3_lexicon_bpe")
 def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json", whole=False)
 
 
+@_whole("op4_context_mixing")
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_table(spark, sf_dir, "documents"), common.crc32_of("doc_id") % 7 == 2)
 
 
+@_whole("op5_vector_graph")
 def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return vector_graph.search(vector_graph.build_index(vectors), vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
+@_whole("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizers_used.byte_bpe(), size=2048, end_id=0)
 
@@ -68,6 +90,7 @@ def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@_whole("op10_exact_dedup")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, sf_dir, "documents"), digest=True)
 

@@ -197,5 +197,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are first of their component, one of each."""
-    kept = near_duplicates(docs, id_col, text_col, width, distance).filter("first").select("key").distinct()
-    return common.rows_with(docs, kept, id_col, text_col)
+    return common.rows_kept(docs, near_duplicates(docs, id_col, text_col, width, distance).withColumnRenamed("first", "kept"), id_col, text_col)

@@ -27,10 +27,27 @@ def _ranked(ranks: str, spec: str):
     return tiktoken.Encoding(spec, pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=special)
 
 
+@lru_cache(maxsize=4)
+def _library(spec: str):
+    import tokenizers
+
+    held = tokenizers.Tokenizer.from_file(vocabulary_path(spec))
+    held.no_truncation()
+    held.no_padding()
+    return held
+
+
 def byte_bpe(ranks: str = "byte_bpe_50k.tiktoken", spec: str = "byte_bpe_50k.json") -> Callable[[], Callable[[str], np.ndarray]]:
-    """Ids as the tokenizers library gives them for ``spec``, special strings in texts being special ids."""
+    """Ids as the tokenizers library gives them for ``spec``, special strings in texts being special ids.
+
+    Texts of any length are encoded whole. A run of some 700,000 white-space characters or more is beyond the
+    fast encoder's pattern search; such a text goes through the library itself.
+    """
 
-    def make() -> Callable[[str], np.ndarray]:
-        return lambda text: _ranked(ranks, spec).encode_to_numpy(text, allowed_special="all")
+    def encode(text: str) -> np.ndarray:
+        try:
+            return _ranked(ranks, spec).encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(_library(spec).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    return make
+    return lambda: encode

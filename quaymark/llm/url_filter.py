@@ -36,7 +36,8 @@ class RuleTrie:
     """
 
     def __init__(self, rules: Iterable[tuple[str, str]]):
-        # A node: [child by host label, path node or None]; a path node: [child by segment, verdicts by beginning of a segment].
+        # A node: [child by host label, path node or None]; a path node: [child by whole segment, trie of beginnings of a segment];
+        # such a trie: child by character, and under "" what ends there.
         self.root: list = [{}, None]
         size = 0
         for verdict, rule in rules:
@@ -56,8 +57,11 @@ class RuleTrie:
             *whole, rest = re.findall(r"[^/]*/", path) + [path[path.rfind("/") + 1 :]]
             for segment in whole:
                 place = place[0].setdefault(segment, [{}, {}])
-            if place[1].get(rest, ("block",))[0] != "allow":
-                place[1][rest] = (verdict, rule)
+            last = place[1]
+            for character in rest:
+                last = last.setdefault(character, {})
+            if last.get("", ("block",))[0] != "allow":
+                last[""] = (verdict, rule)
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         """(verdict, rule) of the longest rule that fits."""
@@ -71,9 +75,11 @@ class RuleTrie:
             hosted += 1 + len(label)
             place, done = node[1], 0
             while place is not None:
-                for rest, found in place[1].items():
-                    if path.startswith(rest, done) and (hosted + done + len(rest), hosted) > length:
-                        best, length = found, (hosted + done + len(rest), hosted)
+                last, at = place[1], done
+                while last is not None:
+                    if "" in last and (hosted + at, hosted) > length:
+                        best, length = last[""], (hosted + at, hosted)
+                    last, at = last.get(path[at]) if at < len(path) else None, at + 1
                 slash = path.find("/", done)
                 if slash < 0:
                     break
@@ -84,12 +90,11 @@ class RuleTrie:
 def judge(rows: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", default: str = "allow", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all) and ``host``, ``path``, ``rule`` (null if none fits), ``verdict``.
 
-    The trie of all rules, of which the size is checked, goes to the tasks with the function; rows stay where
-    they are. Null urls and urls without ``://`` have an empty host, fit no rule and get ``default``. Empty
+    The trie of all rules, of which the size is checked, is broadcast; rows stay where they are. Null urls and urls without ``://`` have an empty host, fit no rule and get ``default``. Empty
     tables give empty results; rows that repeat get the same verdict. A kept column named like a new one is
     an error.
     """
-    trie = RuleTrie(rules)
+    held = rows.sparkSession.sparkContext.broadcast(RuleTrie(rules))
     keep = rows.columns if keep is None else keep
     new = ["host", "path", "rule", "verdict"]
     if clash := set(new) & {c.lower() for c in keep}:
@@ -98,6 +103,7 @@ def judge(rows: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", d
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"{c} string" for c in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = held.value
         for b in batches:
             parts = [split_url(u) for u in b.column(len(keep)).to_pylist()]
             found = [trie.match(*p) or (default, None) for p in parts]

@@ -1,10 +1,13 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quaymark.llm import exact_dedup, quality_crf, queries, simhash, tokenizers_used, url_filter
+from quaymark.llm import common, exact_dedup, quality_crf, queries, simhash, tokenizers_used, url_filter
 from tests.compare import assert_equal, database
-from tests.llm.test_dedup import norm, plain_components, plain_fingerprint
+from tests.llm.test_dedup import norm
+from tests.llm.test_near_copies import components_by_hand
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,8 +79,8 @@ def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
     for r in good:
         first.setdefault(norm(r["text"]), r["doc_id"])
     unique = [r for r in good if first[norm(r["text"])] == r["doc_id"]]
-    least, top = plain_components([(r["doc_id"], plain_fingerprint(r["text"])) for r in unique])
-    left = [r for k, r in enumerate(unique) if least[top[k]] == r["doc_id"]]
+    least = components_by_hand([(r["doc_id"], r["text"]) for r in unique])
+    left = [r for r in unique if least[r["doc_id"]] == r["doc_id"]]
     encode = tokenizers_used.byte_bpe()()
     want = {r["doc_id"]: len(encode(r["text"] or "")) + 1 for r in left}
     have = {}
@@ -93,9 +96,28 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             made = stage(spark, docs, str(tmp_path))
             assert name == "pack" or made.columns == docs.columns
+            if name != "pack":  # whole rows, whatever the columns' names
+                assert {tuple(r) for r in made.collect()} <= {tuple(r) for r in docs.collect()}
             assert made.count() <= max(docs.count() * 12, 0)
 
 
+def test_nothing_is_left_staged(spark, odd_docs, tmp_path):
+    """A finished query leaves its result, and no other table, until it is released."""
+    odd_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, 1, 0), (9, 0, 0), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    folder = Path(common.shared_dir(spark).removeprefix("file:")) / "quaymark"
+    common.release()
+    for name in ("op2_simhash_near_dedup", "op6_best_fit_packing", "op10_exact_dedup"):
+        before = set(folder.iterdir()) if folder.exists() else set()
+        queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert [p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before] == [name]
+    before = set(folder.iterdir())
+    corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before] == ["pipeline-pack"]
+    common.release()
+    assert not {p for p in set(folder.iterdir()) - before if p.is_dir()}
+
+
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "pack"]
     assert {exact_dedup.__name__, simhash.__name__, quality_crf.__name__} and "pipeline" in __import__("__spark_entry__").queries()
