@@ -2,8 +2,9 @@
 
 Symbols of a Huffman code are coded bit by bit. Each predictor has a table of counts by the hash of a context
 and a code node. Their log-odds are summed with weights, of which a gate chooses the set; an adaptive map
-refines the sum. Counts come from all that is learned from; weights and map are learned online, one block of
-bits after another, each bit being left out of the counts that predict it.
+refines the sum. All is learned online, in one pass over what a task reads: a block of bits is predicted from
+the counts before it, the error moves weights and map, then the block is counted. Tasks' counts are added up,
+their weights and maps averaged by the bits that each has seen.
 """
 
 from __future__ import annotations
@@ -17,9 +18,20 @@ MAP_STEPS, DEPTHS = 33, 16
 GATES = DEPTHS * 8
 #: Steps that a log-odds of one is stored in.
 ODDS_STEPS = 12
+#: Levels of a code whose nodes share a line of a hashed table, of 8 slots.
+LEVELS, _LINE_BITS = 3, 3
+#: What a count begins with.
+_PRIOR = 0.3
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A permutation of uint32 in which all bits depend on all."""
+    x = (x ^ (x >> np.uint32(16))) * _MIX[1]
+    x = (x ^ (x >> np.uint32(13))) * _MIX[2]
+    return x ^ (x >> np.uint32(16))
+
+
 def huffman(counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, nodes, bits): symbol s is the path ``nodes[starts[s]:starts[s+1]]`` with the bits taken there."""
     n = len(counts)
@@ -56,11 +68,16 @@ class Code:
     def __init__(self, counts: list[int]):
         self.starts, self.nodes, self.bits = huffman(counts)
         self.lengths = np.diff(self.starts)
+        self.width = int(self.nodes.max()) + 1 if len(self.nodes) else 1
         depth = np.arange(len(self.nodes)) - np.repeat(self.starts[:-1], self.lengths)
-        self.gates = np.minimum(depth, DEPTHS - 1) * 8
-        self.turned = self.nodes * _MIX[0]
+        self.gates = (np.minimum(depth, DEPTHS - 1) * 8).astype(np.int32)
+        # The node that a line begins with, and the slot in the line: 0, 1 + bit, 3 + both bits.
+        step = depth % LEVELS
+        place = np.arange(len(self.nodes))
+        before = np.r_[np.uint8(0), self.bits[:-1]].astype(np.uint32), np.r_[np.zeros(2, np.uint8), self.bits[:-2]].astype(np.uint32)[: len(place)]
+        self.slot = np.where(step == 0, 0, np.where(step == 1, 1 + before[0], 3 + 2 * before[1] + before[0])).astype(np.uint32)
+        self.line = mixed(self.nodes[place - step] * _MIX[0] + np.uint32(1)) if len(place) else self.nodes
         self.sign = np.where(self.bits == 1, np.float32(-1), np.float32(1))
-        self.width = int(self.nodes.max()) + 1 if len(self.nodes) else 1
 
     def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the paths of each bit, number of bits of each symbol)."""
@@ -69,95 +86,122 @@ class Code:
         return np.repeat(self.starts.take(symbols) - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0), sizes
 
 
+class Mixer:
+    """Weights and map, and how many bits they have seen."""
+
+    def __init__(self, tables: int):
+        self.weights = np.tile(np.r_[np.full(tables, 1.2 / tables), 0.0].astype(np.float32)[:, None], (1, GATES))
+        self.refine = np.tile(np.linspace(-8, 8, MAP_STEPS, dtype=np.float32), GATES)
+        self.seen = 0
+
+    def sums(self) -> np.ndarray:
+        """What adds up over tasks: bits seen, and weights and map times that."""
+        return np.r_[np.float64(self.seen), self.weights.ravel() * float(self.seen), self.refine * float(self.seen)]
+
+    @classmethod
+    def mean(cls, tables: int, sums: np.ndarray | None) -> Mixer:
+        """Of all tasks' mixers from the total of their ``sums``; as at the beginning where nothing was seen."""
+        out = cls(tables)
+        if sums is not None and sums[0] > 0:
+            both = (sums[1:] / sums[0]).astype(np.float32)
+            out.seen, out.weights, out.refine = int(sums[0]), both[: out.weights.size].reshape(out.weights.shape), both[out.weights.size :]
+        return out
+
+    def refined(self, z: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        place = np.clip((z + np.float32(8)) * np.float32((MAP_STEPS - 1) / 16), np.float32(0), np.float32(MAP_STEPS - 1.001))
+        low = place.astype(np.int32)
+        part = place - low
+        cell = gate * MAP_STEPS
+        cell += low
+        left = _at(self.refine, cell)
+        return np.float32(0.5) * (z + left + (_at(self.refine, cell + 1) - left) * part), cell, part
+
+    def learn(self, x: list[np.ndarray], y: np.ndarray, gate: np.ndarray, rate: float) -> None:
+        """Move weights and map by the errors of a block of bits, all predicted before it."""
+        z = _at(self.weights[-1], gate)
+        for w, xi in zip(self.weights, x, strict=False):
+            z = z + _at(w, gate) * xi
+        n = np.bincount(gate, minlength=GATES)
+        step = rate / np.sqrt(n + 1)
+        miss = y - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        out, cell, share = self.refined(z, gate)
+        for w, xi in zip(self.weights, x, strict=False):
+            w += (step * np.bincount(gate, miss * xi, GATES)).astype(np.float32)
+        self.weights[-1] += (step * np.bincount(gate, miss, GATES)).astype(np.float32)
+        miss = y - 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        size = len(self.refine)
+        right = np.bincount(cell, miss * share, size), np.bincount(cell, share, size)
+        left = np.bincount(cell, miss, size) - right[0], np.bincount(cell, minlength=size) - right[1]
+        for by, (error, weight) in ((0, left), (1, right)):
+            error, weight = (error, weight) if not by else (np.r_[0, error[:-1]], np.r_[0, weight[:-1]])
+            self.refine += (0.2 * error / np.sqrt(weight + 1)).astype(np.float32)
+        self.seen += len(y)
+
+
 class Predictors:
     """A code, count tables and the mixer over them.
 
     The first context is a number below ``classes`` and its table has a slot for each class and node; other
-    contexts are uint32 hashes and share ``1 << bits`` slots each.
+    contexts are uint32 hashes, mixed, and share ``1 << bits`` slots each. A task's counts are 32-bit: it sees
+    fewer symbols than that.
     """
 
     def __init__(self, code: Code, classes: int, tables: int, bits: int):
-        self.code, self.classes, self.bits = code, classes, bits
+        self.code, self.classes, self.bits, self.tables = code, classes, bits, tables
         self.sizes = [classes * code.width] + [1 << bits] * (tables - 1)
-        self.counts = [np.zeros(2 * n, dtype=np.float32) for n in self.sizes]
-        self.weights = np.tile(np.r_[np.full(tables, 1.2 / tables), 0.0].astype(np.float32)[:, None], (1, GATES))
-        self.refine = np.tile(np.linspace(-8, 8, MAP_STEPS, dtype=np.float32), GATES)
+        self.mixer = Mixer(tables)
+        self.counts: list[np.ndarray] = []
 
     def _slots(self, contexts: list[np.ndarray], at: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        out = [np.repeat(contexts[0].astype(np.intp) * self.code.width, sizes) + _at(self.code.nodes, at)]
-        turned = _at(self.code.turned, at)
+        code = self.code
+        out = [np.repeat(contexts[0].astype(np.int64) * code.width, sizes) + _at(code.nodes, at)]
+        line, slot = _at(code.line, at), _at(code.slot, at)
         for c in contexts[1:]:
             h = np.repeat(c, sizes)
-            h ^= turned
-            h *= _MIX[1]
-            h ^= h >> np.uint32(15)
-            h *= _MIX[2]
-            h >>= np.uint32(32 - self.bits)
-            out.append(h.astype(np.intp))
+            h += line
+            h >>= np.uint32(32 - self.bits + _LINE_BITS)
+            h <<= np.uint32(_LINE_BITS)
+            h += slot
+            out.append(h.astype(np.int64))
         return out
 
-    def observe(self, symbols: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray | None = None) -> None:
-        """Count the bits of symbols in their contexts."""
-        for a in range(0, len(symbols), 1 << 14):  # as many bits at a time as caches hold
-            part = slice(a, a + (1 << 14))
+    def learn(self, symbols: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray | None = None, block: int = 1 << 10, rate: float = 0.01) -> None:
+        """Predict, correct weights and map, count: block by block. ``weight``: how often each symbol counts."""
+        if not self.counts:
+            self.counts = [np.zeros(2 * n, dtype=np.uint32) for n in self.sizes]
+        for a in range(0, len(symbols), block):
+            part = slice(a, a + block)
             at, sizes = self.code.expand(symbols[part])
             y = _at(self.code.bits, at)
-            w = np.float32(1) if weight is None else np.repeat(weight[part].astype(np.float32), sizes)
-            for count, s in zip(self.counts, self._slots([c[part] for c in contexts], at, sizes), strict=True):
-                s <<= 1
-                s += y
-                np.add.at(count, s, w)
-
-    def freeze(self) -> Predictors:
-        """Log-odds (in steps of 1 / ODDS_STEPS) and confidence of each slot take the place of the counts."""
-        odds = (np.log((c[1::2] + np.float32(0.3)) / (c[::2] + np.float32(0.3))) for c in self.counts)
-        self.odds = [np.clip(np.rint(o * ODDS_STEPS), -127, 127).astype(np.int8) for o in odds]
-        self.sure = np.minimum(np.log2(self.counts[-1][1::2] + self.counts[-1][::2] + 1), 7).astype(np.uint8)
-        self.scaled = self.weights / np.float32(ODDS_STEPS)
-        self.counts = []
-        return self
-
-    def _refined(self, z: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        place = np.clip((z + np.float32(8)) * np.float32((MAP_STEPS - 1) / 16), np.float32(0), np.float32(MAP_STEPS - 1.001))
-        low = place.astype(np.intp)
-        part = place - low.astype(np.float32)
-        cell = gate * MAP_STEPS
-        cell += low
-        left = _at(self.refine, cell)
-        return np.float32(0.5) * (z + left + (_at(self.refine, cell + 1) - left) * part), cell, part
-
-    def learn(self, symbols: np.ndarray, contexts: list[np.ndarray], own: np.ndarray | float = 1.0, block: int = 4096, rate: float = 0.02) -> None:
-        """Weights and map, online over the bits in order; ``own``: what each symbol itself adds to the counts."""
-        own = np.broadcast_to(np.asarray(own, dtype=np.float32), len(symbols))
-        for a in range(0, len(symbols), 1 << 14):  # no more bits at a time than fit in little memory
-            part = slice(a, a + (1 << 14))
-            self._learn(symbols[part], [c[part] for c in contexts], own[part], block, rate)
-
-    def _learn(self, symbols: np.ndarray, contexts: list[np.ndarray], own: np.ndarray, block: int, rate: float) -> None:
-        at, sizes = self.code.expand(symbols)
-        y = self.code.bits[at].astype(np.int64)
-        own = np.repeat(own, sizes)
-        slots = self._slots(contexts, at, sizes)
-        for a in range(0, len(at), block):
-            part = slice(a, a + block)
-            yy = y[part]
+            slots = self._slots([c[part] for c in contexts], at, sizes)
             x = []
             for count, s in zip(self.counts, slots, strict=True):
-                n0, n1 = count[2 * s[part]], count[2 * s[part] + 1]
-                n0, n1 = np.maximum(n0 - own[part] * (yy == 0), 0), np.maximum(n1 - own[part] * (yy == 1), 0)
-                x.append(np.log((n1 + 0.3) / (n0 + 0.3)))
-            gate = self.code.gates[at[part]] + np.minimum(np.log2(n0 + n1 + 1), 7).astype(np.intp)
-            x.append(np.ones(len(yy), dtype=np.float32))
-            z = sum(w[gate] * xi for w, xi in zip(self.weights, x, strict=True)).astype(np.float32)
-            miss = yy - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            out, cell, share = self._refined(z, gate)
-            step = rate / np.sqrt(np.bincount(gate, minlength=GATES) + 1)
-            for w, xi in zip(self.weights, x, strict=True):
-                w += (step * np.bincount(gate, miss * xi, GATES)).astype(np.float32)
-            miss = yy - 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-            for c, s in ((cell, 1 - share), (cell + 1, share)):
-                n = len(self.refine)
-                self.refine += (0.2 * np.bincount(c, miss * s, n) / np.sqrt(np.bincount(c, s, n) + 1)).astype(np.float32)
+                pair = _at(count.view(np.uint64), s).view(np.uint32).reshape(-1, 2)
+                n0, n1 = pair[:, 0].astype(np.float32), pair[:, 1].astype(np.float32)
+                x.append(np.log(n1 + np.float32(_PRIOR)) - np.log(n0 + np.float32(_PRIOR)))
+            gate = _at(self.code.gates, at) + np.log2(np.minimum(n0 + n1, np.float32(127)) + np.float32(1)).astype(np.int32)
+            self.mixer.learn(x, y, gate, rate)
+            w = np.uint32(1) if weight is None else np.repeat(weight[part], sizes).astype(np.uint32)
+            for count, s in zip(self.counts, slots, strict=True):
+                np.add.at(count, 2 * s + y, w)
+
+    @staticmethod
+    def stored(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-odds (in steps of 1 / ODDS_STEPS) and confidence of slots from their counts, pairs of whole numbers."""
+        n0, n1 = counts[::2].astype(np.float64), counts[1::2].astype(np.float64)
+        odds = np.clip(np.rint(np.log((n1 + _PRIOR) / (n0 + _PRIOR)) * ODDS_STEPS), -127, 127).astype(np.int8)
+        return odds, np.log2(np.minimum(n0 + n1, 127) + 1).astype(np.uint8)
+
+    def frozen(self, odds: list[np.ndarray], sure: np.ndarray, mixer: Mixer) -> Predictors:
+        """With the stored form of all counts and the mean mixer, as scoring needs it."""
+        self.odds, self.sure, self.mixer, self.counts = odds, sure, mixer, []
+        self.scaled = mixer.weights / np.float32(ODDS_STEPS)
+        return self
+
+    def alone(self) -> Predictors:
+        """Frozen with its own counts."""
+        made = [self.stored(c) for c in self.counts] or [(np.zeros(n, np.int8), np.zeros(n, np.uint8)) for n in self.sizes]
+        return self.frozen([o for o, _ in made], made[-1][1], self.mixer)
 
     def bits_of(self, symbols: np.ndarray, contexts: list[np.ndarray], step: int = 1 << 12) -> np.ndarray:
         """Bits that each symbol takes, once frozen."""
@@ -168,10 +212,10 @@ class Predictors:
             at, sizes = code.expand(symbols[part])
             slots = self._slots([c[part] for c in contexts], at, sizes)
             gate = _at(code.gates, at) + _at(self.sure, slots[-1])
-            z = _at(self.weights[-1], gate)
+            z = _at(self.mixer.weights[-1], gate)
             for w, odds, s in zip(self.scaled, self.odds, slots, strict=False):
                 z += _at(w, gate) * _at(odds, s)
-            z, _, _ = self._refined(z, gate)
+            z, _, _ = self.mixer.refined(z, gate)
             z *= _at(code.sign, at)
             cost = np.maximum(z, np.float32(0)) + np.log(np.float32(1) + np.exp(-np.abs(z)))
             out[part] = np.add.reduceat(cost, np.cumsum(sizes) - sizes)
@@ -179,30 +223,40 @@ class Predictors:
 
 
 class Topics:
-    """A mixture of word distributions; what a text has shown so far chooses the one that is likeliest.
+    """Classes of texts by their words; what a text has shown so far chooses the one that is likeliest.
 
-    ``weight``: per symbol and topic the log-odds of the topic. The class before any symbol is ``n``.
+    ``weight``: per frequent word and class a log-odds in steps of 1/64 (so that sums are exact wherever a text
+    begins), and a row of zeros for all other symbols. The class before any symbol is ``n``.
     """
 
-    def __init__(self, texts: list[np.ndarray], symbols: int, quiet: list[int], n: int = 8, rounds: int = 25, seed: int = 3):
-        self.n = n
-        rng = np.random.default_rng(seed)
-        joined = np.concatenate(texts) if texts else np.zeros(0, dtype=np.int64)
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        keep = ~np.isin(joined, quiet)
-        joined, owner = joined[keep], owner[keep]
-        share = rng.dirichlet(np.full(n, 0.3), max(len(texts), 1))
-        log_p = np.zeros((symbols, n))
-        for _ in range(rounds if len(joined) else 0):
-            sums = np.stack([np.bincount(joined, share[owner, k], symbols) for k in range(n)], axis=1)
-            log_p = np.log((sums + 0.01) / (sums + 0.01).sum(axis=0))
-            score = np.stack([np.bincount(owner, log_p[joined, k], len(texts)) for k in range(n)], axis=1) + np.log(share.mean(axis=0) + 1e-6)
-            score -= score.max(axis=1, keepdims=True)
-            share = np.exp(score)
-            share /= share.sum(axis=1, keepdims=True)
-        log_p[quiet] = 0
-        # In steps of 1/64, so that sums are exact wherever a text begins.
-        self.weight = np.rint((log_p - log_p.mean(axis=1, keepdims=True)) * 64).astype(np.int32)
+    def __init__(self, words: int, n: int, seed: int = 3):
+        self.words, self.n = words, n
+        self.weight = np.zeros((words + 1, n), dtype=np.int32)
+        self.seed = seed
+
+    def begin(self, counts: np.ndarray) -> Topics:
+        """Classes to begin with, drawn for each word; ``counts`` of the words centre them."""
+        drawn = np.random.default_rng(self.seed).normal(size=(self.words, self.n))
+        drawn -= (drawn * counts[:, None]).sum(axis=0) / max(counts.sum(), 1)
+        self.weight[:-1] = np.rint(drawn * 64)
+        return self
+
+    def moved(self, sums: np.ndarray) -> Topics:
+        """Classes by how often each word (rows) is in texts of each class (columns); a class without texts stays as it is."""
+        log_p = np.log((sums + 0.01) / (sums + 0.01).sum(axis=0))
+        some = sums.sum(axis=0) > 0
+        weight = np.rint((log_p - log_p[:, some].mean(axis=1, keepdims=True)) * 64) if some.any() else np.zeros_like(sums)
+        self.weight[:-1] = np.where(some, weight, -64)
+        return self
+
+    def count(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """(words, n) sums: each text's frequent words under the class that is likeliest for all of it."""
+        if not len(sizes):
+            return np.zeros((self.words, self.n), dtype=np.int64)
+        known = np.minimum(symbols, self.words)
+        score = np.add.reduceat(_rows(self.weight, known), np.cumsum(sizes) - sizes, axis=0, dtype=np.int64)
+        at = known * self.n + np.repeat(score.argmax(axis=1), sizes)
+        return np.bincount(at, minlength=(self.words + 1) * self.n)[: self.words * self.n].reshape(self.words, self.n)
 
     def before(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The class before each symbol of texts of these sizes, laid end to end.
@@ -212,10 +266,14 @@ class Topics:
         starts = np.cumsum(sizes) - sizes
         place = np.arange(len(symbols), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
         cuts = np.flatnonzero((place & 7 == 0) | (place < 5) & (place != 3))
-        sums = np.add.reduceat(self.weight.take(symbols, axis=0, mode="clip"), cuts, axis=0)
+        sums = np.add.reduceat(_rows(self.weight, np.minimum(symbols, self.words)), cuts, axis=0)
         run = np.cumsum(sums, axis=0, dtype=np.int64) - sums
         first = np.flatnonzero(place[cuts] == 0)
         run -= np.repeat(run[first], np.diff(np.r_[first, len(cuts)]), axis=0)
         found = run.argmax(axis=1)
         found[~run.any(axis=1)] = self.n
         return np.repeat(found, np.diff(np.r_[cuts, len(symbols)])).astype(np.uint32)
+
+
+def _rows(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return table.take(places, axis=0, mode="clip")

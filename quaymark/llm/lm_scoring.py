@@ -2,11 +2,13 @@
 
 A text is a stream of tokens: its words (``[^\\x20\\x09-\\x0D]+``, ``A-Z`` lower-cased), then an end. Frequent
 words, the end and an escape are symbols of one code; the bytes of a word after an escape are symbols of
-another. Contexts of a symbol: the topic that the text has shown so far, topic and ending of the last word,
-the last word. Contexts of a byte: topic with the last one to five bytes of the word.
+another. Contexts of a symbol: the topic that the text has shown so far, the last word, the last two words.
+Contexts of a byte: the topic, with it the last two and three bytes of the word, the last five. A passage that
+training texts have shown after the same symbols is predicted as a whole, as one more bit.
 
-What is gathered: counts of all words and of all bits in their contexts, over all training texts. What is
-fitted on a bounded sample of training texts: topics, mixing weights, the refining map.
+Everything is gathered from all training texts: counts of all words, topics, counts of all bits in their
+contexts, weights and maps, continuations. Counts of words and continuations are tables that grow with the
+corpus; the hashed tables grow with it up to a bound.
 """
 
 from __future__ import annotations
@@ -21,23 +23,27 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quaymark.llm import common
-from quaymark.llm.context_mixing import Code, Predictors, Topics
-
-#: Words with a symbol of their own, their longest size in bytes; slots of a hashed table.
-LEXICON, LEXICON_BYTES, SLOT_BITS = 1 << 16, 64, 21
-#: Training documents that the lexicon and its code are made from.
-LEXICON_DOCS = 20_000
-#: Topics, and the bounded sample that topics, weights and maps are fitted on.
-TOPICS, FIT_DOCS, FIT_CHARS, FIT_WORDS = 8, 3000, 16_000, 60_000
-#: Bytes of context up to which the topic is part of it.
-SHORT = 3
-#: Words whose spelling one task learns.
-TASK_WORDS = 500_000
+from quaymark.llm.context_mixing import Code, Mixer, Predictors, Topics, mixed
+
+#: Words with a symbol of their own, their longest size in bytes.
+LEXICON, LEXICON_BYTES = 1 << 16, 64
+#: Slots of a hashed table, as powers of two: four a training symbol (or byte) between these.
+SLOT_BITS = (16, 22)
+#: Topics, frequent words that tell them, passes over the corpus in which they are found.
+TOPICS, TOPIC_WORDS, TOPIC_ROUNDS = 8, 1024, 6
+#: Symbols, and words to spell, that one task learns: its tables, of a bounded size, pay for themselves.
+TASK_SYMBOLS, TASK_WORDS = 1 << 23, 1 << 19
+#: Bytes of texts that are laid end to end in a row.
+ROW_BYTES = 1 << 21
+#: A context in so many begins a passage; symbols of its context.
+ANCHORS, REACH = 32, 8
+#: Numbers of bytes before one that are its contexts; up to how many the topic is part of them.
+ORDERS, SHORT = (2, 3, 5), 3
 #: Slots that travel together when tables of tasks are added up.
 _CHUNK = 1 << 16
 _LOG2_10 = math.log2(10)
@@ -47,6 +53,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def slot_bits(symbols: int) -> int:
+    return min(max((4 * symbols).bit_length(), SLOT_BITS[0]), SLOT_BITS[1])
+
+
 class Lexicon:
     """Frequent words as symbols 0 to n - 1, the escape as n, the end as n + 1."""
 
@@ -54,11 +64,10 @@ class Lexicon:
         self.words, self.escape, self.end = words, len(words), len(words) + 1
         self.counts = np.array([*counts, escapes, ends], dtype=np.int64)
         self.code = Code(self.counts.tolist())
-        self.hashes = np.array([*map(zlib.crc32, words), 0, 1], dtype=np.uint32)
-        self.endings = np.array([*(zlib.crc32(w[-3:]) for w in words), 0, 1], dtype=np.uint32)
+        self.hashes = mixed(np.array([*map(zlib.crc32, words), 0, 1], dtype=np.uint32))
         letters = np.full(257, 1, dtype=np.int64)  # the shape of the bytes' code; all have one
         for w, c in zip(words, counts, strict=True):
-            np.add.at(letters, np.frombuffer(w, dtype=np.uint8), c)
+            np.add.at(letters, np.frombuffer(w, dtype=np.uint8), np.int64(c))
             letters[256] += c
         self.letters = Code(letters.tolist())
 
@@ -68,56 +77,87 @@ class Lexicon:
 
 
 class Streams:
-    """Texts as symbols, laid end to end, with their topics, the words outside the lexicon and the contexts of each symbol."""
-
-    def __init__(self, lexicon: Lexicon, sizes: np.ndarray, symbols: np.ndarray, topic: np.ndarray, rare: list[bytes]):
-        self.sizes, self.symbols, self.topic, self.rare = sizes, symbols, topic, rare
-        self.escaped = np.flatnonzero(symbols == lexicon.escape)
-        self.rare_sizes = np.add.reduceat(symbols == lexicon.escape, np.cumsum(sizes) - sizes, dtype=np.int64) if len(sizes) else sizes
-        last, ending = lexicon.hashes.take(symbols, mode="clip"), lexicon.endings.take(symbols, mode="clip")
-        last[self.escaped] = [*map(zlib.crc32, rare)]
-        ending[self.escaped] = [zlib.crc32(w[-3:]) for w in rare]
-        for a in (last, ending):  # of the word before; 1 (the end) before the first
-            a[1:] = a[:-1].copy()
-            a[:1] = 1
-        self.contexts = [topic, ending * np.uint32(16) + topic, last]
+    """Texts as symbols, laid end to end, and their words outside the lexicon."""
+
+    def __init__(self, lexicon: Lexicon, sizes: np.ndarray, symbols: np.ndarray, rare: list[bytes]):
+        self.lexicon, self.sizes, self.symbols, self.rare = lexicon, sizes, symbols, rare
+        self.starts = np.cumsum(sizes) - sizes
+        self.escaped = symbols == lexicon.escape
 
     @classmethod
-    def of(cls, lexicon: Lexicon, index: dict[bytes | None, int], topics: Topics, texts: list[list[bytes]]) -> Streams:
+    def of(cls, lexicon: Lexicon, index: dict[bytes | None, int], texts: list[list[bytes]]) -> Streams:
         flat: list[bytes | None] = []
         for words in texts:
             flat += words
             flat.append(None)
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
         symbols = np.fromiter(map(index.get, flat, repeat(lexicon.escape)), dtype=np.int64, count=len(flat))
-        rare = [flat[i] for i in np.flatnonzero(symbols == lexicon.escape).tolist()]
-        topic = topics.before(symbols, sizes) if len(symbols) else np.zeros(0, dtype=np.uint32)
-        return cls(lexicon, sizes, symbols, topic, rare)
+        return cls(lexicon, sizes, symbols, [flat[i] for i in np.flatnonzero(symbols == lexicon.escape).tolist()])
 
     def packed(self) -> dict:
         """What ``unpacked`` needs, as columns of a table's row."""
-        return {"sizes": self.sizes.astype("<i4").tobytes(), "symbols": self.symbols.astype("<i4").tobytes(), "topics": self.topic.astype("u1").tobytes(), "rare": b" ".join(self.rare)}
+        return {"sizes": self.sizes.astype("<i4").tobytes(), "symbols": self.symbols.astype("<i4").tobytes(), "rare": b" ".join(self.rare)}
 
     @classmethod
-    def unpacked(cls, lexicon: Lexicon, row: dict) -> Streams:
-        sizes, symbols = (np.frombuffer(row[k], dtype="<i4").astype(np.int64) for k in ("sizes", "symbols"))
-        return cls(lexicon, sizes, symbols, np.frombuffer(row["topics"], dtype="u1").astype(np.uint32), row["rare"].split())
-
-    def entries(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def unpacked(cls, lexicon: Lexicon, row: pa.RecordBatch) -> Streams:
+        sizes, symbols = (np.frombuffer(row.column(k)[0].as_buffer(), dtype="<i4").astype(np.int64) for k in ("sizes", "symbols"))
+        return cls(lexicon, sizes, symbols, row.column("rare")[0].as_py().split())
+
+    def contexts(self, topics: Topics) -> list[np.ndarray]:
+        """Topic, last word, last two words before each symbol; an end stands before a text."""
+        own = self.lexicon.hashes.take(self.symbols, mode="clip")
+        if self.rare:
+            own[self.escaped] = mixed(np.fromiter(map(zlib.crc32, self.rare), dtype=np.uint32, count=len(self.rare)))
+        end = self.lexicon.hashes[-1]
+        last = np.r_[end, own[:-1]]
+        second = np.r_[end, last[:-1]]
+        second[self.starts] = end
+        return [topics.before(self.symbols, self.sizes), mixed(last + np.uint32(1)), mixed(last * np.uint32(0x9E3779B1) + second)]
+
+    def entries(self, topic: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Words outside the lexicon, each once, and of each text, word and topic that go together: text, word's place, topic, number."""
         words = list(dict.fromkeys(self.rare))
         place = {w: i for i, w in enumerate(words)}
         ids = np.fromiter(map(place.__getitem__, self.rare), dtype=np.int64, count=len(self.rare))
-        text = np.repeat(np.arange(len(self.sizes)), self.rare_sizes)
-        key, n = np.unique((text * max(len(words), 1) + ids) * (TOPICS + 1) + self.topic[self.escaped], return_counts=True)
+        text = np.repeat(np.arange(len(self.sizes)), np.add.reduceat(self.escaped, self.starts, dtype=np.int64))
+        key, n = np.unique((text * max(len(words), 1) + ids) * (TOPICS + 1) + topic[self.escaped], return_counts=True)
         key, topic = np.divmod(key, TOPICS + 1)
         text, ids = np.divmod(key, max(len(words), 1))
         return words, text, ids, topic, n
 
-    def keep(self, some: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Symbols and contexts of the texts for which ``some`` holds."""
-        mask = np.repeat(some, self.sizes)
-        return self.symbols[mask], [c[mask] for c in self.contexts]
+    def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each passage its first symbol, its text, the hash of the symbols before it and of its own.
+
+        Passages begin where the hash of the last two symbols says so, and end with the next or the text.
+        """
+        n = len(self.symbols)
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        place = np.arange(n) - self.starts[text]
+        wide = _mixed64(self.symbols.astype(np.uint64))
+        begins = np.zeros(n, dtype=bool)
+        begins[2:] = _mixed64(wide[1:-1] + wide[:-2] * np.uint64(3))[: max(n - 2, 0)] % np.uint64(ANCHORS) == 0
+        at = np.flatnonzero(begins & (place >= 2))
+        if not len(at):
+            return at, at, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        before = np.zeros(len(at), dtype=np.uint64)
+        for k in range(1, REACH + 1):
+            inside = place[at] >= k
+            before += np.where(inside, _mixed64(wide[np.maximum(at - k, 0)] + np.uint64(k)), np.uint64(k))
+        # A passage goes up to the next one or its text's end: runs from the first passage of each text on.
+        first = np.r_[True, text[at][1:] != text[at][:-1]]
+        stops = np.where(np.r_[first[1:], True], (self.starts + self.sizes)[text[at]], np.r_[at[1:], n])
+        cuts = np.column_stack([at, stops]).ravel()
+        offset = np.zeros(n, dtype=np.uint64)
+        offset[at[0] :] = np.arange(at[0], n) - np.repeat(at, np.diff(np.r_[at, n]))
+        of = _mixed64(wide + offset * np.uint64(0x9E3779B97F4A7C15))
+        own = np.add.reduceat(np.r_[of, np.uint64(0)], cuts)[::2]
+        return at, text[at], before.view(np.int64), own.view(np.int64)
+
+
+def _mixed64(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def spelled(words: list[bytes], topics: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -131,24 +171,25 @@ def spelled(words: list[bytes], topics: np.ndarray) -> tuple[np.ndarray, list[np
     place = np.arange(len(symbols)) - np.repeat(ends - sizes, sizes)
     topic = np.repeat(topics.astype(np.uint32), sizes)
     contexts, h = [topic], np.full(len(symbols), 11, dtype=np.uint32)
-    for k in range(1, 6):
+    for k in range(1, max(ORDERS) + 1):
         before = np.full(len(symbols), 257, dtype=np.uint32)
         before[k:] = np.where(place[k:] >= k, symbols[:-k], 257)
         h = (h ^ before) * np.uint32(0x01000193) + np.uint32(k)
-        contexts.append(h * np.uint32(16) + topic if k <= SHORT else h)
+        if k in ORDERS:
+            contexts.append(mixed(h * np.uint32(16) + topic if k <= SHORT else h))
     return symbols, contexts, sizes
 
 
-def _word_model(lexicon: Lexicon) -> Predictors:
-    return Predictors(lexicon.code, TOPICS + 1, 3, SLOT_BITS)
+def _word_model(lexicon: Lexicon, bits: int) -> Predictors:
+    return Predictors(lexicon.code, TOPICS + 1, 3, bits)
 
 
-def _byte_model(lexicon: Lexicon) -> Predictors:
-    return Predictors(lexicon.letters, TOPICS + 1, 6, SLOT_BITS)
+def _byte_model(lexicon: Lexicon, bits: int) -> Predictors:
+    return Predictors(lexicon.letters, TOPICS + 1, len(ORDERS) + 1, bits)
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    """Counts, which are whole, in as few bytes as the largest needs."""
+    """Whole counts in as few bytes as the largest needs."""
     kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if counts.max(initial=0) < 2 ** (8 * int(k[2])))
     return kind[2].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
 
@@ -158,74 +199,84 @@ def _unpacked(blob) -> np.ndarray:
     return np.frombuffer(zlib.decompress(raw[1:]), dtype=f"<u{raw[:1].decode()}")
 
 
-def _table_rows(model: Predictors) -> Iterator[tuple[int, int, bytes]]:
-    """Count tables in chunks; chunks without counts aren't sent."""
+_TABLES = "table int, chunk int, task int, blob binary"
+
+
+def _table_rows(model: Predictors) -> Iterator[pa.RecordBatch]:
+    """A task's count tables in chunks, without those that have no counts, and what its mixer adds to the mean (table -1)."""
+    task = TaskContext.get().partitionId()
+
+    def row(table: int, chunk: int, blob: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (table, chunk, task)] + [pa.array([blob], pa.binary())], names=["table", "chunk", "task", "blob"])
+
+    if model.counts:
+        yield row(-1, 0, model.mixer.sums().astype("<f8").tobytes())
     for t, counts in enumerate(model.counts):
         for c in range(0, len(counts), 2 * _CHUNK):
             part = counts[c : c + 2 * _CHUNK]
             if part.any():
-                yield t, c // (2 * _CHUNK), _packed(part)
+                yield row(t, c // (2 * _CHUNK), _packed(part))
 
 
 def _added_up(rows: DataFrame, model: Predictors) -> Predictors:
-    """The model with the sums of all tasks' tables; a chunk's parts are added one by one."""
+    """The model, frozen, from all tasks' tables: a chunk's parts are added one by one in 64 bits, and only the stored
+    form, two bytes a slot, reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, None
+
+        def made() -> pa.RecordBatch:
+            first, second = (total.astype("<f8").tobytes(), b"") if key[0] < 0 else (x.tobytes() for x in Predictors.stored(total))
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([first], pa.binary()), pa.array([second], pa.binary())], names=["table", "chunk", "odds", "sure"])
+
         for b in batches:
-            for t, c, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                part = _unpacked(blob.as_buffer())
+            for t, c, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3), strict=True):
+                part = np.frombuffer(blob.as_buffer(), dtype="<f8") if t < 0 else _unpacked(blob.as_buffer())
                 if (t, c) != key:
                     if key is not None:
-                        yield _chunk_batch(key, total)
-                    key, total = (t, c), np.zeros(len(part))
-                total += part
+                        yield made()
+                    key, total = (t, c), np.zeros(len(part), dtype=np.float64 if t < 0 else np.int64)
+                total += part.astype(total.dtype)
         if key is not None:
-            yield _chunk_batch(key, total)
-
-    sums = rows.repartition("table", "chunk").sortWithinPartitions("table", "chunk").mapInArrow(run, "table int, chunk int, blob binary")
-    for r in sums.toLocalIterator():  # of a fixed size, whatever the corpus
-        at = r["chunk"] * 2 * _CHUNK
-        part = _unpacked(r["blob"])
-        model.counts[r["table"]][at : at + len(part)] = part
-    return model
-
+            yield made()
 
-def _chunk_batch(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([_packed(total)], pa.binary())], names=["table", "chunk", "blob"])
+    odds, sure, mixer = [np.zeros(n, dtype=np.int8) for n in model.sizes], np.zeros(model.sizes[-1], dtype=np.uint8), None
+    with common.batches_of(rows.sparkSession, 64):
+        sums = common.staged(rows.repartition("table", "chunk").sortWithinPartitions("table", "chunk", "task").mapInArrow(run, "table int, chunk int, odds binary, sure binary"), "lm-tables")
+    for r in sums.toLocalIterator():  # of a bounded size, whatever the corpus
+        if r["table"] < 0:
+            mixer = np.frombuffer(r["odds"], dtype="<f8")
+            continue
+        at, part = r["chunk"] * _CHUNK, np.frombuffer(r["odds"], dtype=np.int8)
+        odds[r["table"]][at : at + len(part)] = part
+        if r["table"] == model.tables - 1:
+            sure[at : at + len(part)] = np.frombuffer(r["sure"], dtype=np.uint8)
+    return model.frozen(odds, sure, Mixer.mean(model.tables, mixer))
 
 
-def _few_tasks(df: DataFrame) -> DataFrame:
-    """Fewer tasks, as each sends tables of a fixed size: eight splits each, or as many as there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(max(cores, -(-df.rdd.getNumPartitions() // 8)))
+def _tasks(df: DataFrame, units: int, each: int) -> DataFrame:
+    """As many tasks as ``units`` of work ask for, ``each`` to a task, and no fewer than there are cores."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-units // each)))
 
 
-def _chosen(docs: DataFrame, n: int, most_chars: int | None = None) -> DataFrame:
-    """Up to ``n`` training documents, the first by a hash of their id; ids alone are ordered, and a bounded list of them broadcast."""
-    few = ~F.col("held_out") & F.col("id").isNotNull() & (F.lit(True) if most_chars is None else F.length("text") <= most_chars)
-    order = F.xxhash64(F.col("id").cast("string"))
-    ids = docs.filter(few).select("id").distinct().orderBy(order, "id").limit(n)
-    return docs.filter(few).join(F.broadcast(ids), "id").select(order.alias("at"), "text")
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(``word`` binary, ``c``) of every word of every training text."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
 
-def sampled_words(docs: DataFrame) -> DataFrame:
-    """(``word`` binary, ``c``) in LEXICON_DOCS training documents, from which lexicon and code are made; ``c`` isn't used for anything else."""
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found: Counter = Counter()
             for t in b.column(0):
                 found.update(words_of(t.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
-
-    return _chosen(docs, LEXICON_DOCS).select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+                if len(found) > 1 << 19:
+                    yield batch()
+                    found.clear()
+        yield batch()
 
-
-def _sample(docs: DataFrame) -> list[list[bytes]]:
-    """Words of FIT_DOCS training texts of up to FIT_CHARS characters."""
-    rows = _chosen(docs, FIT_DOCS, FIT_CHARS).limit(2 * FIT_DOCS).collect()
-    return [words_of(t) for _, t in sorted((r["at"], r["text"]) for r in rows)]
+    return docs.filter("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,66 +285,56 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     held_out: condition on ``docs``; rows for which it holds (null counts as false) are scored but not
     learned from. ``base_score`` is the add-one unigram log10 probability, ``score`` the model's. Null texts
     count as empty and have an end only. Rows that repeat count and are scored each for itself; null ids
-    stay. Other columns aren't read. An empty table gives an empty result.
+    stay. Other columns aren't read. An empty table gives an empty result. Very long texts and words are
+    learned and scored whole.
 
-    Words outside the lexicon, of which there are ever more, are never broadcast: what they cost is joined to
-    the rows that have them. Lexicon, topics and tables have fixed bounds and are.
+    Words outside the lexicon and continuations of passages, of which there are ever more, are never broadcast:
+    what they cost is joined to the rows that have them. Lexicon, topics and hashed tables have bounds and are.
     """
-    spark = docs.sparkSession
     docs = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     ends = docs.filter("NOT held_out").count()
-    counted = common.staged(sampled_words(docs), "lm-sampled")
-    tokens = counted.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    counted = common.staged(word_counts(docs), "lm-words")
+    words, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    total, distinct = words + ends, kinds + (ends > 0)
+    scale = math.log10(total + distinct + 1)
     frequent = common.most_frequent(counted.filter(F.octet_length("word") <= LEXICON_BYTES), "c", LEXICON)
     frequent.sort(key=lambda r: (-r["c"], bytes(r["word"])))
-    share = min(ends, LEXICON_DOCS)
-    lexicon = Lexicon([bytes(r["word"]) for r in frequent], [r["c"] for r in frequent], tokens - sum(r["c"] for r in frequent), share)
-    index = lexicon.index()
-    sample = _sample(docs)
-    topics = Topics([np.array([index.get(w, lexicon.escape) for w in t], dtype=np.int64) for t in sample], lexicon.end + 1, [lexicon.escape, lexicon.end], TOPICS)
-
-    # All texts once: the training texts' tables, and every word that isn't in the lexicon, by topic.
-    seen = common.staged(_observed(docs, lexicon, topics), "lm-observed")
-    model = _added_up(seen.filter("table IS NOT NULL").select("table", "chunk", "blob"), _word_model(lexicon))
-    if sample:
-        laid = Streams.of(lexicon, index, topics, sample)
-        model.learn(laid.symbols, laid.contexts)
-    model = model.freeze()
-    own = {bytes(r["word"]): r["c"] for r in seen.filter("topic < 0").groupBy("word").agg(F.sum("n_train").alias("c")).collect()}
-    exact = np.array([*(own.get(w, 0) for w in lexicon.words), 0, ends], dtype=np.int64)
-    # One shuffle, by word, serves both groupings.
-    by_topic = seen.filter("topic >= 0").select("word", "topic", "n_train", "n_rows").repartition("word").groupBy("word", "topic").agg(F.sum("n_train").alias("n_train"), F.sum("n_rows").alias("n_rows"))
-    rare = common.staged(
-        by_topic.groupBy("word").agg(F.sum("n_train").alias("c"), F.sum("n_rows").alias("rows"), F.collect_list("topic").alias("topics"), F.collect_list("n_train").alias("own"), F.collect_list("n_rows").alias("used")),
-        "lm-rare",
-    )
-    kinds, times, n_rows = rare.agg(F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    total = int(exact.sum()) + times
-    scale = math.log10(total + int((exact > 0).sum()) + kinds + 1)
-    # Tables of a fixed size pay for themselves over as many words.
-    letters = _added_up(rare.filter("c > 0").coalesce(-(-max(kinds, 1) // TASK_WORDS)).mapInArrow(_byte_tables(lexicon), "table int, chunk int, blob binary"), _byte_model(lexicon))
-    fitted = rare.filter(F.col("c").between(1, 1000) & (F.octet_length("word") <= LEXICON_BYTES)).orderBy(F.xxhash64("word"), "word").limit(FIT_WORDS).select("word", "topics", "own").toArrow()
-    if fitted.num_rows:
-        spell, topic, own = _trained(fitted["word"].combine_chunks(), fitted["topics"].combine_chunks(), fitted["own"].combine_chunks())
-        symbols, contexts, sizes = spelled(spell, topic)
-        letters.learn(symbols, contexts, np.repeat(own, sizes))
-    letters = letters.freeze()
-
-    with common.batches_of(spark, 16):
-        main = common.staged(_scored(seen, docs.schema["id"].dataType.simpleString(), lexicon, model, exact), "lm-scored")
-    common.discard(seen)
+    lexicon = Lexicon([bytes(r["word"]) for r in frequent], [r["c"] for r in frequent], words - sum(r["c"] for r in frequent), ends)
+
+    streams = common.staged(_streams(docs, lexicon), "lm-streams")
+    topics = _topics(streams, lexicon)
+    bits = slot_bits(total)
+    learned = common.staged(_tasks(streams, total, TASK_SYMBOLS).mapInArrow(_learner(docs.sparkSession, lexicon, topics, bits), _TABLES), "lm-learned")
+    model = _added_up(learned, _word_model(lexicon, bits))
+    common.discard(learned)
+
+    with common.batches_of(docs.sparkSession, 4):
+        main = common.staged(_scored(streams, docs.schema["id"].dataType.simpleString(), lexicon, topics, model), "lm-scored")
+    common.discard(streams)
+
+    used = main.select("rid", "held_out", F.explode("rare").alias("r")).select("rid", "held_out", "r.word", "r.topic", F.col("r.n").alias("times"))
+    by_topic = used.groupBy("word", "topic").agg(F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("times"))).alias("own"), F.count(F.lit(1)).alias("uses"))
+    rare = by_topic.groupBy("word").agg(F.sum("own").alias("c"), *[F.collect_list(x).alias(x) for x in ("topic", "own", "uses")])
+    rare = common.staged(rare, "lm-rare")
+    pairs, n_bytes, n_used = rare.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (F.size("topic"), F.size("topic") * (F.octet_length("word") + 1), F.aggregate("uses", F.lit(0).cast("long"), lambda a, x: a + x))]).first()
+    bits = slot_bits(n_bytes)
+    # In an order that has nothing to do with their spelling, as online learning needs it.
+    taught = _tasks(rare.filter("c > 0").select("word", "topic", "own"), pairs, TASK_WORDS).sortWithinPartitions(F.xxhash64("word"))
+    spelling = common.staged(taught.mapInArrow(_speller(lexicon, bits), _TABLES), "lm-spelling")
+    letters = _added_up(spelling, _byte_model(lexicon, bits))
+    common.discard(spelling)
     cost = common.staged(_spelled_cost(rare, letters), "lm-spelled")
     common.discard(rare)
-    used = main.select("rid", F.explode("rare").alias("r")).select("rid", "r.word", "r.topic", "r.n")
-    priced = common.lookup(used, cost, ["word", "topic"], "rows", n_rows)
+    priced = common.lookup(used.drop("held_out"), cost, ["word", "topic"], "uses", n_used)
     sums = priced.groupBy("rid").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
-        F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("base"),
-        F.sum(F.col("n") * F.col("bits")).alias("bits"),
+        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"),
+        F.sum(F.col("times") * F.col("bits")).alias("bits"),
     )
+    saved = _saved(main.select("rid", "held_out", F.explode("passages").alias("p")).select("rid", "held_out", "p.*"))
     zero = F.lit(0.0)
-    bits = F.col("main_bits") + F.coalesce("bits", zero)
-    return main.drop("rare").join(sums, "rid", "left").select(
+    bits = F.greatest(F.col("main_bits") + F.coalesce("bits", zero) - F.coalesce("saved", zero), zero)
+    return main.drop("rare", "passages").join(sums, "rid", "left").join(saved, "rid", "left").select(
         F.col("id").alias(id_col), "held_out", "n_bytes", "n_tokens",
         (F.col("main_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
@@ -303,119 +344,176 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _observed(docs: DataFrame, lexicon: Lexicon, topics: Topics) -> DataFrame:
-    """All texts once. Rows of three kinds: parts of count tables; words with a topic (-1: of the lexicon) and their
-    numbers; texts as symbols, some hundred to a row, so that scoring need not read and split them again."""
-    held = docs.sparkSession.sparkContext.broadcast((lexicon, topics))
+def _streams(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """All texts as symbols, ROW_BYTES of them to a row, so that later passes need not read and split them again."""
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)
     id_kind = docs.schema["id"].dataType
-    kinds = {
-        "table": pa.int32(), "chunk": pa.int32(), "blob": pa.binary(), "word": pa.binary(), "topic": pa.int32(), "n_train": pa.int64(), "n_rows": pa.int64(),
-        "docs": pa.list_(pa.struct([("rid", pa.int64()), ("id", to_arrow_type(id_kind)), ("held_out", pa.bool_()), ("n_bytes", pa.int64())])),
-        "sizes": pa.binary(), "symbols": pa.binary(), "topics": pa.binary(), "rare": pa.binary(),
-    }
-    schema = f"""table int, chunk int, blob binary, word binary, topic int, n_train long, n_rows long,
-        docs array<struct<rid: long, id: {id_kind.simpleString()}, held_out: boolean, n_bytes: long>>, sizes binary, symbols binary, topics binary, rare binary"""
+    schema = f"docs array<struct<rid: long, id: {id_kind.simpleString()}, held_out: boolean, n_bytes: long>>, sizes binary, symbols binary, rare binary, n_train long"
+    names = ["docs", "sizes", "symbols", "rare", "n_train"]
 
-    def rows_of(n: int, columns: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in kinds.items()], names=list(kinds))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = held.value
+        index, rid = lexicon.index(), TaskContext.get().partitionId() << 40
+        for b in batches:
+            size = pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.cumsum(size) // ROW_BYTES
+            cuts = [0, *(np.flatnonzero(row[1:] != row[:-1]) + 1).tolist(), len(row)] if len(row) else []
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                part = b.slice(x, y - x)
+                laid = Streams.of(lexicon, index, [words_of(t.as_py()) for t in part.column(0)])
+                n = part.num_rows
+                of = pa.StructArray.from_arrays([pa.array(range(rid, rid + n), pa.int64()), part.column(2), part.column(1), pa.array(size[x:y])], names=["rid", "id", "held_out", "n_bytes"])
+                rid += n
+                learned = ~np.array(part.column(1).to_pylist(), dtype=bool)
+                values = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), of), *(pa.array([v], pa.binary()) for v in laid.packed().values()), pa.array([int(laid.sizes[learned].sum())], pa.int64())]
+                yield pa.RecordBatch.from_arrays(values, names=names)
+
+    return docs.select("text", "held_out", F.col("id")).mapInArrow(run, schema)
+
+
+def _training(lexicon: Lexicon, row: pa.RecordBatch) -> Streams:
+    """The training texts of a row of streams."""
+    laid = Streams.unpacked(lexicon, row)
+    some = ~np.array(row.column("docs").flatten().field("held_out").to_pylist(), dtype=bool)
+    if some.all():
+        return laid
+    mask = np.repeat(some, laid.sizes)
+    inside = mask[laid.escaped].tolist()
+    return Streams(lexicon, laid.sizes[some], laid.symbols[mask], [w for w, k in zip(laid.rare, inside, strict=True) if k])
+
+
+def _topics(streams: DataFrame, lexicon: Lexicon) -> Topics:
+    """Classes of all training texts, found in passes over all of them; a pass sends a number per word and class."""
+    words = min(TOPIC_WORDS, len(lexicon.words))
+    topics = Topics(words, TOPICS).begin(lexicon.counts[:words])
+    for _ in range(TOPIC_ROUNDS if words else 0):
+
+        def run(batches: Iterator[pa.RecordBatch], topics=topics) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((topics.words, topics.n), dtype=np.int64)
+            for b in batches:
+                for at in range(b.num_rows):
+                    row = b.slice(at, 1)
+                    sizes, symbols = (np.frombuffer(row.column(k)[0].as_buffer(), dtype="<i4") for k in ("sizes", "symbols"))
+                    some = ~np.array(row.column("held")[0].as_py(), dtype=bool)
+                    sums += topics.count(symbols[np.repeat(some, sizes)], sizes[some].astype(np.int64))
+            cell = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sums.ravel()[cell])], names=["cell", "n"])
+
+        found = streams.select("sizes", "symbols", F.col("docs.held_out").alias("held")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        sums = np.zeros(topics.words * topics.n, dtype=np.int64)
+        for r in found.collect():  # words times classes at most
+            sums[r["cell"]] = r["n"]
+        before = topics.weight.copy()
+        topics = topics.moved(sums.reshape(topics.words, topics.n))
+        if (before == topics.weight).all():
+            break
+    return topics
+
+
+def _learner(spark, lexicon: Lexicon, topics: Topics, bits: int):
+    held = spark.sparkContext.broadcast((lexicon, topics))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, topics = held.value
-        index, model = lexicon.index(), _word_model(lexicon)
-        rows: dict[tuple[bytes, int], int] = {}  # rows that have a word and topic, times 2 ** 32, and how often training texts do
-        whole = np.zeros(lexicon.end + 1, dtype=np.int64)
-        rid = TaskContext.get().partitionId() << 40
+        model = _word_model(lexicon, bits)
+        for b in batches:
+            for at in range(b.num_rows):
+                laid = _training(lexicon, b.slice(at, 1))
+                if len(laid.symbols):
+                    model.learn(laid.symbols, laid.contexts(topics))
+        yield from _table_rows(model)
+
+    return run
 
-        def rare_batch() -> pa.RecordBatch:
-            keys = list(rows)
-            return rows_of(len(keys), {"word": pa.array([w for w, _ in keys], pa.binary()), "topic": pa.array([t for _, t in keys], pa.int32()), "n_train": pa.array([v & 0xFFFFFFFF for v in rows.values()], pa.int64()), "n_rows": pa.array([v >> 32 for v in rows.values()], pa.int64())})
 
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                n_docs = part.num_rows
-                learned = ~part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                texts = [words_of(t.as_py()) for t in part.column(0)]
-                laid = Streams.of(lexicon, index, topics, texts)
-                symbols, contexts = laid.keep(learned)
-                model.observe(symbols, contexts)
-                whole += np.bincount(symbols, minlength=len(whole))
-                words, text, ids, topic, n = laid.entries()
-                key, first = np.unique(ids * (TOPICS + 1) + topic, return_inverse=True)
-                used = np.bincount(first, minlength=len(key)).tolist()
-                trained = np.bincount(first, n * learned[text], len(key)).astype(np.int64).tolist()
-                for k, a, c in zip(key.tolist(), used, trained, strict=True):
-                    k = (words[k // (TOPICS + 1)], k % (TOPICS + 1))
-                    rows[k] = rows.get(k, 0) + (a << 32) + c
-                if len(rows) > 1 << 18:
-                    yield rare_batch()
-                    rows.clear()
-                of = pa.StructArray.from_arrays([pa.array(range(rid, rid + n_docs), pa.int64()), part.column(2), part.column(1), pc.binary_length(part.column(0)).cast(pa.int64())], names=["rid", "id", "held_out", "n_bytes"])
-                rid += n_docs
-                yield rows_of(1, {"docs": pa.ListArray.from_arrays(pa.array([0, n_docs], pa.int32()), of)} | {k: pa.array([v], pa.binary()) for k, v in laid.packed().items()})
-        # Words of the lexicon under topic -1.
-        if rows:
-            yield rare_batch()
-            rows.clear()
-        if lexicon.words:
-            n = len(lexicon.words)
-            yield rows_of(n, {"word": pa.array(lexicon.words, pa.binary()), "topic": pa.array([-1] * n, pa.int32()), "n_train": pa.array(whole[:n]), "n_rows": pa.array([0] * n, pa.int64())})
-        for t, c, blob in _table_rows(model):
-            yield rows_of(1, {"table": pa.array([t], pa.int32()), "chunk": pa.array([c], pa.int32()), "blob": pa.array([blob], pa.binary())})
-
-    return _few_tasks(docs.select("text", "held_out", "id")).mapInArrow(run, schema)
-
-
-def _trained(words: pa.Array, topics: pa.Array, own: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Each word for each topic that has it in training texts: words, topics, counts."""
-    row = np.repeat(np.arange(len(words)), np.diff(topics.offsets.to_numpy()))
-    topic, n = topics.flatten().to_numpy(), own.flatten().to_numpy().astype(np.float64)
-    some = n > 0
-    return words.take(pa.array(row[some])).to_pylist(), topic[some], n[some]
-
-
-def _byte_tables(lexicon: Lexicon):
+def _of_topics(words: pa.Array, topics: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of ``words`` and a topic for each of a word's topics."""
+    return np.repeat(np.arange(len(words)), np.diff(topics.offsets.to_numpy())), topics.flatten().to_numpy()
+
+
+def _speller(lexicon: Lexicon, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _byte_model(lexicon)
+        model = _byte_model(lexicon, bits)
         for b in batches:
-            for at in range(0, b.num_rows, 1 << 14):
-                part = b.slice(at, 1 << 14)
-                spell, topic, n = _trained(part.column("word"), part.column("topics"), part.column("own"))
-                symbols, contexts, sizes = spelled(spell, topic)
-                model.observe(symbols, contexts, np.repeat(n, sizes))
-        for t, c, blob in _table_rows(model):
-            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([c], pa.int32()), pa.array([blob], pa.binary())], names=["table", "chunk", "blob"])
+            for at in range(0, b.num_rows, 1 << 13):
+                part = b.slice(at, 1 << 13)
+                row, topic = _of_topics(part.column(0), part.column(1))
+                own = part.column(2).flatten().to_numpy()
+                some = own > 0
+                symbols, contexts, sizes = spelled(part.column(0).take(pa.array(row[some])).to_pylist(), topic[some])
+                model.learn(symbols, contexts, np.repeat(own[some], sizes))
+        yield from _table_rows(model)
 
     return run
 
 
-def _scored(seen: DataFrame, id_kind: str, lexicon: Lexicon, words: Predictors, exact: np.ndarray) -> DataFrame:
-    """A row per text of the streams in ``seen``: what its symbols cost, and its words outside the lexicon."""
-    held = seen.sparkSession.sparkContext.broadcast((lexicon, words, exact))
-    names = ["rid", "id", "held_out", "n_bytes", "n_tokens", "main_known", "main_base", "main_bits", "rare"]
-    schema = f"rid long, id {id_kind}, held_out boolean, n_bytes long, n_tokens long, main_known long, main_base double, main_bits double, rare array<struct<word: binary, topic: int, n: int>>"
+def _scored(streams: DataFrame, id_kind: str, lexicon: Lexicon, topics: Topics, model: Predictors) -> DataFrame:
+    """A row per text: what its symbols cost, its words outside the lexicon, its passages and what each costs."""
+    held = streams.sparkSession.sparkContext.broadcast((lexicon, topics, model))
+    names = ["rid", "id", "held_out", "n_bytes", "n_tokens", "main_known", "main_base", "main_bits", "rare", "passages"]
+    schema = f"""rid long, id {id_kind}, held_out boolean, n_bytes long, n_tokens long, main_known long, main_base double, main_bits double,
+        rare array<struct<word: binary, topic: int, n: int>>, passages array<struct<context: long, passage: long, bits: float>>"""
+
+    def lists(of: list[pa.Array], fields: list[str], text: np.ndarray, n: int) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.StructArray.from_arrays(of, names=fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, words, exact = held.value
-        price, known = np.log10(exact + 1.0), (exact > 0).astype(np.int64)  # the escape's count is 0
+        lexicon, topics, model = held.value
+        counts = lexicon.counts.copy()
+        counts[lexicon.escape] = 0
+        price, known = np.log10(counts + 1.0), (counts > 0).astype(np.int64)
         for b in batches:
             for at in range(b.num_rows):
                 part = b.slice(at, 1)
-                laid = Streams.unpacked(lexicon, {k: part.column(k)[0].as_py() for k in ("sizes", "symbols", "topics", "rare")})
-                of = part.column("docs").flatten()
-                starts = np.cumsum(laid.sizes) - laid.sizes
-                bits = np.add.reduceat(words.bits_of(laid.symbols, laid.contexts), starts)
-                kinds, text, ids, topic, n = laid.entries()
-                entry = pa.StructArray.from_arrays([pa.array(kinds, pa.binary()).take(pa.array(ids)), pa.array(topic, pa.int32()), pa.array(n, pa.int32())], names=["word", "topic", "n"])
-                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(starts) + 1)), pa.int32()), entry)
-                sums = [np.add.reduceat(x.take(laid.symbols), starts) for x in (known, price)]
-                yield pa.RecordBatch.from_arrays([*of.flatten(), pa.array(laid.sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(bits), rare], names=names)
-
-    return seen.filter("symbols IS NOT NULL").select("docs", "sizes", "symbols", "topics", "rare").mapInArrow(run, schema)
+                laid = Streams.unpacked(lexicon, part)
+                n = len(laid.sizes)
+                contexts = laid.contexts(topics)
+                each = model.bits_of(laid.symbols, contexts)
+                words, text, ids, topic, times = laid.entries(contexts[0])
+                rare = lists([pa.array(words, pa.binary()).take(pa.array(ids)), pa.array(topic, pa.int32()), pa.array(times, pa.int32())], ["word", "topic", "n"], text, n)
+                begin, text, before, own = laid.passages()
+                ends = np.r_[0.0, np.cumsum(each)]
+                last = np.r_[text[1:] != text[:-1], True] if len(text) else np.zeros(0, dtype=bool)
+                stop = np.where(last, (laid.starts + laid.sizes)[text], np.r_[begin[1:], 0][: len(begin)])
+                passages = lists([pa.array(before, pa.int64()), pa.array(own, pa.int64()), pa.array((ends[stop] - ends[begin]).astype(np.float32))], ["context", "passage", "bits"], text, n)
+                sums = [np.add.reduceat(x, laid.starts) for x in (known.take(laid.symbols), price.take(laid.symbols), each)]
+                yield pa.RecordBatch.from_arrays([*part.column("docs").flatten().flatten(), pa.array(laid.sizes), *map(pa.array, sums), rare, passages], names=names)
+
+    return streams.select("docs", "sizes", "symbols", "rare").mapInArrow(run, schema)
+
+
+def _saved(passages: DataFrame) -> DataFrame:
+    """(``rid``, ``saved``): bits by which texts are cheaper where the corpus predicts whole passages.
+
+    A context that training texts have at least twice predicts its most frequent passage, as one bit before the
+    passage: if it isn't that one, its symbols follow. How likely it is depends on how often context and passage
+    were seen, and is learned from all training passages, each predicted from all others. Contexts are as many as
+    the corpus has; passages are joined to them by key, those whose context has no prediction not at all.
+    """
+    counts = passages.groupBy("context", "passage").agg(F.sum((~F.col("held_out")).cast("long")).alias("k"), F.count(F.lit(1)).alias("rows"))
+    best = F.max(F.struct("k", "passage")).alias("best")
+    seen = counts.groupBy("context").agg(F.sum("k").alias("n"), F.sum("rows").alias("rows"), best).filter("n > 1")
+    seen = common.staged(seen.select("context", "n", "rows", F.col("best.k").alias("k"), F.col("best.passage").alias("likely")), "lm-passages")
+
+    def state(n: Column, k: Column) -> Column:
+        return (F.least(F.floor(F.log2(n)), F.lit(15)) * 9 + F.floor(k * 8 / n)).cast("int")
+
+    others = seen.filter("n > 2").select(F.explode(F.array(
+        F.struct(state(F.col("n") - 1, F.col("k") - 1).alias("state"), F.col("k").alias("hits"), F.lit(0).cast("long").alias("misses")),
+        F.struct(state(F.col("n") - 1, F.least("k", F.col("n") - 1)).alias("state"), F.lit(0).cast("long").alias("hits"), (F.col("n") - F.col("k")).alias("misses")),
+    )).alias("s")).groupBy("s.state").agg(F.sum("s.hits").alias("hits"), F.sum("s.misses").alias("misses"))
+    chance = [0.1] * (16 * 9)
+    for r in others.collect():  # a row per state
+        chance[r["state"]] = (r["hits"] + 0.2) / (r["hits"] + r["misses"] + 2)
+    near = common.Bitmap(seen.select("context")).mark(passages, "context", "hit").filter("hit").drop("hit", "held_out")
+    found = common.lookup(near, seen, ["context"], "rows", passages.count()).filter("n IS NOT NULL")
+    p, bits = F.element_at(F.array(*map(F.lit, chance)), state(F.col("n"), F.col("k")) + 1), F.col("bits").cast("double")
+    now = F.when(F.col("passage") == F.col("likely"), -F.log2(p + (1 - p) * F.pow(F.lit(2.0), -bits))).otherwise(bits - F.log2(1 - p))
+    return found.groupBy("rid").agg(F.sum(bits - now).alias("saved"))
 
 
 def _spelled_cost(rare: DataFrame, letters: Predictors) -> DataFrame:
-    """(``word``, ``topic``, ``c``, ``rows``, ``bits``) of each word outside the lexicon in each topic that has it."""
+    """(``word``, ``topic``, ``c``, ``uses``, ``bits``) of each word outside the lexicon in each topic that has it."""
     held = rare.sparkSession.sparkContext.broadcast(letters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,11 +521,10 @@ def _spelled_cost(rare: DataFrame, letters: Predictors) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                topics, used = part.column("topics"), part.column("used")
-                row = pa.array(np.repeat(np.arange(part.num_rows), np.diff(topics.offsets.to_numpy())))
-                words, topic = part.column("word").take(row), topics.flatten()
-                symbols, contexts, sizes = spelled(words.to_pylist(), topic.to_numpy())
+                row, topic = _of_topics(part.column(0), part.column(1))
+                words = part.column(0).take(pa.array(row))
+                symbols, contexts, sizes = spelled(words.to_pylist(), topic)
                 bits = np.add.reduceat(model.bits_of(symbols, contexts), np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays([words, topic, part.column("c").take(row), used.flatten(), pa.array(bits)], names=["word", "topic", "c", "rows", "bits"])
+                yield pa.RecordBatch.from_arrays([words, pa.array(topic, pa.int32()), part.column(2).take(pa.array(row)), part.column(3).flatten(), pa.array(bits)], names=["word", "topic", "c", "uses", "bits"])
 
-    return rare.select("word", "topics", "c", "used").mapInArrow(run, "word binary, topic int, c long, rows long, bits double")
+    return rare.select("word", "topic", "c", "uses").mapInArrow(run, "word binary, topic int, c long, uses long, bits double")

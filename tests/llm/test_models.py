@@ -67,18 +67,51 @@ def test_huffman_is_a_prefix_code():
     assert len(codes[3]) == min(map(len, codes))
 
 
-def test_bits_are_a_distribution_over_symbols():
+def toy_model():
     rng = np.random.default_rng(2)
     code = context_mixing.Code([7, 5, 3, 2, 1, 1])
-    model = context_mixing.Predictors(code, 2, 3, 10)
     symbols = rng.choice(6, 4000, p=[0.4, 0.25, 0.15, 0.1, 0.05, 0.05])
-    contexts = [(symbols % 2).astype(np.uint32), np.roll(symbols, 1).astype(np.uint32), np.roll(symbols, 2).astype(np.uint32)]
-    model.observe(symbols, contexts)
-    model.learn(symbols, contexts)
-    model.freeze()
-    one = [np.full(6, 1, np.uint32), np.full(6, 3, np.uint32), np.full(6, 2, np.uint32)]
+    symbols[1::2] = (symbols[::2] * 5 + 1) % 6  # every second one follows from the one before
+    of = lambda k: context_mixing.mixed(np.roll(symbols, k).astype(np.uint32))
+    return code, symbols, [(symbols % 2).astype(np.uint32) * 0, of(1), of(2)]
+
+
+def test_bits_are_a_distribution_over_symbols():
+    code, symbols, contexts = toy_model()
+    model = context_mixing.Predictors(code, 2, 3, 10)
+    model.learn(symbols, contexts, block=64)
+    model.alone()
+    one = [c[:1].repeat(6) for c in contexts]
     assert abs((2.0 ** -model.bits_of(np.arange(6), one)).sum() - 1) < 1e-4
-    assert model.bits_of(symbols, contexts).mean() < 2.6
+    assert model.bits_of(symbols, contexts).mean() < 1.9
+
+
+def test_counts_are_exact_and_lines_hold_seven_nodes():
+    code, symbols, contexts = toy_model()
+    model = context_mixing.Predictors(code, 2, 3, 10)
+    model.learn(symbols, contexts, weight=np.full(len(symbols), 3))
+    bits = int(code.lengths[symbols].sum())
+    assert [int(c.sum()) for c in model.counts] == [3 * bits] * 3
+    big = np.array([2**31, 2**24 + 1, 0, 0], dtype=np.int64)
+    odds, sure = context_mixing.Predictors.stored(big * 1000)
+    assert odds[0] < 0 and odds[1] == 0 and sure.tolist() == [7, 0]
+    wide = context_mixing.Code(list(range(1, 400)))
+    seen = {}
+    for line, slot, node in zip(wide.line.tolist(), wide.slot.tolist(), wide.nodes.tolist(), strict=True):
+        assert slot < 7 and seen.setdefault((line, slot), node) == node
+
+
+def test_mixers_are_averaged_by_what_they_saw():
+    code, symbols, contexts = toy_model()
+    parts = []
+    for some in (slice(0, 3000), slice(3000, 4000)):
+        model = context_mixing.Predictors(code, 2, 3, 10)
+        model.learn(symbols[some], [c[some] for c in contexts], block=64)
+        parts.append(model.mixer)
+    mean = context_mixing.Mixer.mean(3, parts[0].sums() + parts[1].sums())
+    share = parts[0].seen / (parts[0].seen + parts[1].seen)
+    assert mean.seen == parts[0].seen + parts[1].seen and np.allclose(mean.weights, share * parts[0].weights + (1 - share) * parts[1].weights, atol=1e-5)
+    assert np.array_equal(context_mixing.Mixer.mean(3, None).weights, context_mixing.Mixer(3).weights)
 
 
 def test_spelling_contexts_end_with_the_word():
@@ -88,6 +121,42 @@ def test_spelling_contexts_end_with_the_word():
         assert c[:3].tolist() == c[4:].tolist()
 
 
+def plain_passages(texts):
+    """(text, first symbol, symbols before it, its own symbols) of each passage, one text at a time."""
+    out = []
+    mix = lambda x: int(lm_scoring._mixed64(np.array([x % 2**64], dtype=np.uint64))[0])
+    for k, t in enumerate(texts):
+        begins = [i for i in range(2, len(t)) if mix(mix(t[i - 1]) + 3 * mix(t[i - 2])) % lm_scoring.ANCHORS == 0]
+        for i, stop in zip(begins, [*begins[1:], len(t)], strict=False):
+            out.append((k, i, tuple(t[max(0, i - lm_scoring.REACH) : i]), tuple(t[i:stop])))
+    return out
+
+
+def test_passages_equal_brute_force():
+    rng = np.random.default_rng(6)
+    lexicon = lm_scoring.Lexicon([b"w%d" % i for i in range(60)], list(range(60, 0, -1)), 1, 1)
+    texts = [[*rng.integers(0, 60, n).tolist(), lexicon.end] for n in rng.integers(0, 200, 40)]
+    texts += [texts[3], texts[7][:50] + texts[9]]
+    laid = lm_scoring.Streams(lexicon, np.array([len(t) for t in texts]), np.concatenate(texts), [])
+    begin, text, before, own = laid.passages()
+    want = plain_passages(texts)
+    assert [(k, laid.starts[k] + i) for k, i, _, _ in want] == list(zip(text.tolist(), begin.tolist(), strict=True)) and len(want) > 50
+    for hashes, column in ((before, 2), (own, 3)):
+        by = {}
+        for h, w in zip(hashes.tolist(), want, strict=True):
+            assert by.setdefault(h, w[column]) == w[column]
+        assert len(by) == len({w[column] for w in want})
+
+
+def test_a_passage_that_the_corpus_repeats_costs_little(spark):
+    rng = np.random.default_rng(9)
+    one = [" ".join(f"w{x}" for x in rng.integers(0, 300, 400)) for _ in range(60)]
+    rows = [(i, t, False) for i, t in enumerate(one)] + [(100 + i, one[0], False) for i in range(3)] + [(200, one[0], True), (201, one[1], True)]
+    found = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), F.col("held")).collect()
+    bits = {r["doc_id"]: r["bits_per_byte"] for r in found}
+    assert bits[200] < 0.5 * min(bits[i] for i in range(1, 60)) and abs(bits[0] - bits[200]) < 1e-9
+
+
 def check_scores(df, found):
     rows = df.collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
@@ -116,8 +185,9 @@ def test_op4_counts_equal_brute_force(spark, documents, odd_docs, no_docs):
 
 
 def test_model_beats_the_base_on_held_out_texts(spark):
-    found = queries.op4_context_mixing(spark, "/root/testdata/sf0.01").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert found[0] > found[1]
+    """By 0.08 of a decimal digit a token at least, on 330,000 training tokens."""
+    found = queries.op4_context_mixing(spark, "/root/testdata/sf0.01").filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert found[0] - found[1] > 0.08 * found[2]
 
 
 # Neighbours
