@@ -50,9 +50,9 @@ def differing_buckets(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def compare_rows(source: DataFrame, target: DataFrame, key: str, digest: str = "digest") -> DataFrame:
     """(``key``, ``kind``) of rows (key, digest) that one side lacks or that differ."""
-    s, t = source.select(F.col(key).alias("sk"), F.col(digest).alias("sd")), target.select(F.col(key).alias("tk"), F.col(digest).alias("td"))
-    joined = s.join(t, F.col("sk") == F.col("tk"), "full_outer")
-    kind = F.when(F.col("tk").isNull(), MISSING_IN_TARGET).when(F.col("sk").isNull(), MISSING_IN_SOURCE).when(~F.col("sd").eqNullSafe(F.col("td")), VALUE_MISMATCH)
+    s, t = (df.select(F.col(key).alias(f"{n}k"), F.col(digest).alias(f"{n}d"), F.lit(True).alias(f"{n}x")) for df, n in ((source, "s"), (target, "t")))
+    joined = s.join(t, F.col("sk").eqNullSafe(F.col("tk")), "full_outer")  # a null key is a key
+    kind = F.when(F.col("tx").isNull(), MISSING_IN_TARGET).when(F.col("sx").isNull(), MISSING_IN_SOURCE).when(~F.col("sd").eqNullSafe(F.col("td")), VALUE_MISMATCH)
     return joined.select(F.coalesce("sk", "tk").alias(key), kind.alias("kind")).filter("kind IS NOT NULL")
 
 
@@ -75,14 +75,19 @@ def summary(findings: DataFrame) -> DataFrame:
 
 
 def boundaries(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Every ``rows``-th key in order: upper bounds of chunks. Keys are unique; ranges are counted, then numbered each by itself."""
-    spark = df.sparkSession
-    parts = spark.sparkContext.defaultParallelism
-    placed = df.select(F.col(key)).repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id())
-    before = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = before.select("__p", F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    rank = F.row_number().over(W.partitionBy("__p").orderBy(key)) + F.col("__before")
-    return placed.join(F.broadcast(before), "__p").withColumn("__rank", rank).filter(F.col("__rank") % rows == 0).select((F.col("__rank") / rows).cast("long").alias("chunk"), F.col(key).alias("upper_bound"))
+    """Every ``rows``-th key in order: upper bounds of chunks. Keys are unique.
+
+    Ranges are dealt once and staged with their numbers and each row's place in its range, so that counts and places
+    are of the same ranges, whatever is evaluated again.
+    """
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    placed = df.select(F.col(key)).repartitionByRange(parts, key).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
+    numbered = placed.withColumns({"__p": F.shiftright("__at", 33), "__n": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1}).drop("__at").checkpoint()
+    sizes = numbered.groupBy("__p").agg(F.max("__n").alias("__size"))
+    before = F.coalesce(F.sum("__size").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rank = F.col("__n") + F.col("__before")
+    ranked = numbered.join(F.broadcast(sizes.select("__p", before.alias("__before"))), "__p")  # a row per range
+    return ranked.withColumn("__rank", rank).filter(F.col("__rank") % rows == 0).select((F.col("__rank") / rows).cast("long").alias("chunk"), F.col(key).alias("upper_bound"))
 
 
 def bisect_int(low: int | None, high: int | None) -> int | None:

@@ -17,13 +17,22 @@ def survivors(chunk: DataFrame, events: DataFrame, marks: DataFrame, keys: list[
     """Rows of chunks that no event between their chunk's low and high watermark is newer than.
 
     chunk: ``chunk_id``, ``ord``, keys, payload; events: keys and ``position``; marks: ``chunk_id``, ``low``,
-    ``high``, a row per chunk. Chunks without both watermarks give nothing yet.
+    ``high``, a row per chunk. Chunks without both watermarks give nothing yet. A hot key costs a row per chunk.
     """
-    opened = chunk.join(marks, "chunk_id").alias("c")
-    e = events.select(*keys, position).distinct().alias("e")
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
-    within = (F.col(f"e.{position}") > F.col("c.low")) & (F.col(f"e.{position}") < F.col("c.high"))
-    return opened.join(e, [*same, within], "left_anti").select(*[F.col(f"c.{c}") for c in chunk.columns])
+    marks = marks.filter("low IS NOT NULL AND high IS NOT NULL").select("chunk_id", "low", "high")
+    c = chunk.join(marks.select("chunk_id"), "chunk_id", "left_semi").alias("c")
+    widest = marks.agg(F.max(F.col("high") - F.col("low"))).first()[0]
+    if widest is None:
+        return c.select("c.*")
+    # The log is cut to what lies in some window, found by stretches of positions as long as the widest window, of
+    # which a window meets two at most; of that a row per key and chunk is left before anything is shuffled by key.
+    stretch = lambda at: F.floor(at / max(int(widest), 1))
+    b = marks.withColumn("stretch", F.explode(F.sequence(stretch(F.col("low")), stretch(F.col("high"))))).alias("b")
+    e = events.select(F.struct(*keys).alias("key"), F.col(position).alias("at")).withColumn("stretch", stretch(F.col("at"))).alias("e")
+    inside = (F.col("e.at") > F.col("b.low")) & (F.col("e.at") < F.col("b.high"))
+    seen = e.join(b, [F.col("e.stretch") == F.col("b.stretch"), inside]).groupBy("b.chunk_id", "e.key").agg(F.count(F.lit(1)).alias("n")).alias("s")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col("s.key")[k]) for k in keys]
+    return c.join(seen, [F.col("c.chunk_id") == F.col("s.chunk_id"), *same], "left_anti").select("c.*")
 
 
 def stats(chunk: DataFrame, emitted: DataFrame) -> DataFrame:

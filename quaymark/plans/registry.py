@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,10 @@ from pyspark.sql import types as T
 from quaymark.functions import canonical, digest, protect, redaction
 from quaymark.operators import apply, cdc, dead_letters, gate, recon, window
 from quaymark.plans import fixtures as fx
-from quaymark.plans.spec import META_DELETED, META_LSN, META_UPDATED, ColumnSpec, Logical
+from quaymark.plans.spec import META_DELETED, META_LSN, META_UPDATED, ColumnSpec, Logical, Plan, Protection, TableSpec
 from quaymark.sources import parts, scans
+from quaymark.sources.versioned import VersionedStore
+from quaymark.streaming.applier import Applier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -178,6 +182,7 @@ def bounded_count(spark, sf_dir):
 
 @query("SELECT (r // 500)::BIGINT AS chunk, o_orderkey AS upper_bound FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS r FROM orders) WHERE r % 500 = 0")
 def chunk_boundaries(spark, sf_dir):
+    _shared(spark)
     return recon.boundaries(fx.table(spark, sf_dir, "orders"), "o_orderkey", 500)
 
 
@@ -238,7 +243,7 @@ _LSN_FORMS = ["0/1A2B3C4D", "439041101", "0x1A2B3C4D", "1A2B3C4D", " 42 ", "", "
 )
 def lsn_folding(spark, sf_dir):
     forms = spark.createDataFrame([(f,) for f in _LSN_FORMS], "form string")
-    return forms.select("form", cdc.as_long(cdc.unsigned(F.col("form"))).alias("lsn"))
+    return forms.select("form", cdc.bits_of(F.col("form")).alias("lsn"))
 
 
 @query(
@@ -290,20 +295,6 @@ def _empty_target(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], f"user_id long, value double, props string, {META_LSN} long, {META_DELETED} boolean, {META_UPDATED} timestamp")
 
 
-@query(
-    f"""WITH {_LOG}, a AS (SELECT * FROM log WHERE batch < 4 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, batch DESC, "offset" DESC) = 1)
-        SELECT user_id, CASE WHEN op = 'd' THEN NULL ELSE value END AS value, lsn AS _mig_lsn, op = 'd' AS _mig_deleted FROM a"""
-)
-def fence_merge_batches(spark, sf_dir):
-    """Four batches applied one after the other by the merge that the applier uses."""
-    log = fx.change_log(spark, sf_dir).select("user_id", "op", "lsn", "batch", "offset", "value", "props")
-    target = _empty_target(spark)
-    for b in range(4):
-        newest = apply.coalesce_newest(log.filter(F.col("batch") == b), ["user_id"], ["lsn", "offset"])
-        target = apply.fence_merge(target, newest, ["user_id"], ["value", "props"], F.timestamp_seconds(F.lit(b)))
-    return target.select("user_id", F.when(~F.col(META_DELETED), F.col("value")).alias("value"), META_LSN, META_DELETED)
-
-
 @query(f"""WITH {_LOG} SELECT user_id, lsn AS _mig_lsn FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, batch DESC, "offset" DESC) = 1 AND op = 'd'""")
 def tombstone_state(spark, sf_dir):
     log = fx.change_log(spark, sf_dir).select("user_id", "op", "lsn", "batch", "offset")
@@ -345,13 +336,23 @@ def staging_merge(spark, sf_dir):
 _BATCHES = [b * 5 % 13 for b in range(13)]
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder, if need be one of our own, and read again."""
-    context = df.sparkSession.sparkContext
+def _shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session, as in tests, may do without."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="quaymark-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
     if not context.getCheckpointDir():
-        own = tempfile.mkdtemp(prefix="quaymark-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or own)
+        context.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read again."""
+    _shared(df.sparkSession)
     return df.checkpoint()
 
 
@@ -359,7 +360,7 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     f"""WITH {_LOG}, a AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC, batch DESC, "offset" DESC) = 1)
         SELECT user_id, CASE WHEN op = 'd' THEN NULL ELSE value END AS value, lsn AS _mig_lsn, op = 'd' AS _mig_deleted FROM a"""
 )
-def fence_merge_all_batches(spark, sf_dir):
+def fence_merge_batches(spark, sf_dir):
     """All batches applied one after the other by the merge that the applier uses, the target written between them."""
     log = fx.change_log(spark, sf_dir).select("user_id", "op", "lsn", "batch", "offset", "value", "props")
     target = _empty_target(spark)
@@ -370,7 +371,7 @@ def fence_merge_all_batches(spark, sf_dir):
 
 
 @query(f"""WITH {_LOG} SELECT 'app' AS topic, "partition", max("offset") AS last_offset, arg_max(lsn, "offset") AS last_lsn FROM log GROUP BY 2""")
-def offset_upsert_all_batches(spark, sf_dir):
+def offset_upsert_monotonic(spark, sf_dir):
     """Offsets advanced over all batches, out of order."""
     log = fx.change_log(spark, sf_dir)
     stored = apply.high_water_marks(log.filter(F.col("batch") == _BATCHES[0]))
@@ -385,15 +386,6 @@ def purge_tombstones(spark, sf_dir):
     return apply.purge_tombstones(apply.settled_state(log, ["user_id"], _ORDER)).agg(F.count(F.lit(1)).alias("live_rows"))
 
 
-@query(
-    f"""WITH {_LOG}, m AS (SELECT batch, "partition", max("offset") AS o, arg_max(lsn, "offset") AS l FROM log GROUP BY 1, 2) SELECT 'app' AS topic, "partition", max(o) AS last_offset, arg_max(l, o) AS last_lsn FROM m WHERE batch IN (2, 7) GROUP BY 2"""
-)
-def offset_upsert_monotonic(spark, sf_dir):
-    log = fx.change_log(spark, sf_dir)
-    first, second = (apply.high_water_marks(log.filter(F.col("batch") == b)) for b in (7, 2))
-    return apply.advance_offsets(first, second, ["topic", "partition"])
-
-
 @query("""SELECT event_type, count(*) AS events FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1""")
 def unknown_tables(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events").select(F.concat(F.lit("app."), "event_type").alias("table"), "event_type")
@@ -447,21 +439,22 @@ def recon_differing_buckets(spark, sf_dir):
     return recon.differing_buckets(*made)
 
 
-_CHUNKS = """chunk AS (SELECT (event_id // 1000)::VARCHAR AS chunk_id, event_id AS ord, user_id, value FROM events WHERE event_id % 1000 < 150),
-    marks AS (SELECT (i * 1000)::BIGINT + 300 AS low, (i * 1000)::BIGINT + 420 AS high, i::VARCHAR AS chunk_id FROM range(1000) r(i)),
+# Chunks of all events, marks of every chunk that there is.
+_CHUNKS = """chunk AS (SELECT (event_id // 1000)::VARCHAR AS chunk_id, event_id AS ord, user_id, value FROM events),
+    marks AS (SELECT DISTINCT (event_id // 1000 * 1000)::BIGINT + 300 AS low, (event_id // 1000 * 1000)::BIGINT + 420 AS high, (event_id // 1000)::VARCHAR AS chunk_id FROM events),
     gone AS (SELECT c.chunk_id, c.ord FROM chunk c JOIN marks m USING (chunk_id) WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.user_id AND e.event_id > m.low AND e.event_id < m.high))"""
 
 
 def _window(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     e = fx.table(spark, sf_dir, "events")
     i = F.col("event_id")
-    chunk = e.filter(i % 1000 < 150).select(F.floor(i / 1000).cast("string").alias("chunk_id"), i.alias("ord"), "user_id", "value")
-    at = F.col("id") * 1000
-    marks = spark.range(1000).select(F.col("id").cast("string").alias("chunk_id"), (at + 300).alias("low"), (at + 420).alias("high"))
+    chunk = e.select(F.floor(i / 1000).cast("string").alias("chunk_id"), i.alias("ord"), "user_id", "value")
+    at = F.col("chunk_id").cast("long") * 1000
+    marks = chunk.select("chunk_id").distinct().select("chunk_id", (at + 300).alias("low"), (at + 420).alias("high"))
     return chunk, window.survivors(chunk, e.select("user_id", i.alias("lsn")), marks, ["user_id"])
 
 
-@query(f"WITH {_CHUNKS} SELECT c.* FROM chunk c JOIN marks USING (chunk_id) LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord WHERE g.ord IS NULL")
+@query(f"WITH {_CHUNKS} SELECT c.* FROM chunk c LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord WHERE g.ord IS NULL")
 def window_eviction(spark, sf_dir):
     return _window(spark, sf_dir)[1]
 
@@ -479,39 +472,6 @@ def window_rejections(spark, sf_dir):
     return window.problems(_window(spark, sf_dir)[0], ["user_id"])
 
 
-# The same over the whole table: chunks of all events, marks of every chunk that there is.
-_ALL_CHUNKS = """chunk AS (SELECT (event_id // 1000)::VARCHAR AS chunk_id, event_id AS ord, user_id, value FROM events),
-    marks AS (SELECT DISTINCT (event_id // 1000 * 1000)::BIGINT + 300 AS low, (event_id // 1000 * 1000)::BIGINT + 420 AS high, (event_id // 1000)::VARCHAR AS chunk_id FROM events),
-    gone AS (SELECT c.chunk_id, c.ord FROM chunk c JOIN marks m USING (chunk_id) WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.user_id AND e.event_id > m.low AND e.event_id < m.high))"""
-
-
-def _whole_window(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    e = fx.table(spark, sf_dir, "events")
-    i = F.col("event_id")
-    chunk = e.select(F.floor(i / 1000).cast("string").alias("chunk_id"), i.alias("ord"), "user_id", "value")
-    at = F.col("chunk_id").cast("long") * 1000
-    marks = chunk.select("chunk_id").distinct().select("chunk_id", (at + 300).alias("low"), (at + 420).alias("high"))
-    return chunk, window.survivors(chunk, e.select("user_id", i.alias("lsn")), marks, ["user_id"])
-
-
-@query(f"WITH {_ALL_CHUNKS} SELECT c.* FROM chunk c LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord WHERE g.ord IS NULL")
-def window_eviction_all(spark, sf_dir):
-    return _whole_window(spark, sf_dir)[1]
-
-
-@query(
-    f"""WITH {_ALL_CHUNKS} SELECT c.chunk_id, count(*) AS rows_buffered, count(*) - count(g.ord) AS rows_emitted, count(g.ord) AS rows_evicted
-        FROM chunk c LEFT JOIN gone g ON c.chunk_id = g.chunk_id AND c.ord = g.ord GROUP BY 1"""
-)
-def window_stats_all(spark, sf_dir):
-    return window.stats(*_whole_window(spark, sf_dir))
-
-
-@query(f"WITH {_ALL_CHUNKS} SELECT DISTINCT chunk_id, 'chunk has a key twice; chunk boundaries overlap' AS problem FROM (SELECT chunk_id, user_id FROM chunk GROUP BY ALL HAVING count(*) > 1)")
-def window_rejections_all(spark, sf_dir):
-    return window.problems(_whole_window(spark, sf_dir)[0], ["user_id"])
-
-
 # Protection. Keys of these queries are for tests.
 
 _MASTER = bytes(range(32))
@@ -544,6 +504,64 @@ def protect_redact_prune(spark, sf_dir):
     return protect.protect(fx.table(spark, sf_dir, "customer"), fx.CUSTOMER, _token_key(), _encrypt_key())
 
 
+# The applier over all messages, in a store of its own.
+
+ACCOUNTS = TableSpec("app.accounts", "core.accounts", ("user_id",), (ColumnSpec("user_id", protect=Protection.TOKENIZE), ColumnSpec("value", Logical.DECIMAL, "amount", scale=2)))
+BANK = TableSpec("bank.accounts", "bank.accounts", ("user_id",), ACCOUNTS.columns)
+_MESSAGES = """m AS (SELECT l.*, "offset" % 101 = 7 AS empty, "offset" % 103 = 9 AS broken, "offset" % 97 = 5 AS odd, "offset" % 3 > 0 AS planned,
+      CASE "offset" % 5 WHEN 0 THEN (lsn // 256) * 4294967296 + lsn % 256 WHEN 3 THEN (lsn % 1000) * 4294967296 + lsn WHEN 4 THEN lsn + 1700000000000 ELSE lsn END AS number FROM log l)"""
+
+
+def _applied(spark: SparkSession, sf_dir: str, plan: Plan) -> Applier:
+    """An applier that has applied all messages in two batches, the later ones first."""
+    folder = f"{_shared(spark)}/quaymark/applied-{uuid.uuid4().hex}"
+    applier = Applier(spark, plan, VersionedStore(spark, folder, buckets=8), protect.StaticKey(_MASTER, acknowledged=True), clock=lambda: datetime(2024, 5, 1, tzinfo=UTC))
+    messages = fx.change_messages(spark, sf_dir)
+    half = messages.agg(F.floor(F.max("offset") / 2)).first()[0] or 0
+    applier.apply_batch(messages.filter(F.col("offset") > half), 0)
+    applier.apply_batch(messages.filter(F.col("offset") <= half), 1)
+    return applier
+
+
+@query(
+    f"""WITH {_LOG}, {_MESSAGES}, g AS (SELECT * FROM m WHERE NOT empty AND NOT broken AND NOT odd AND planned), h AS (SELECT max("offset") // 2 AS half FROM log)
+      SELECT {_token_sql('user_id::VARCHAR', 'app.accounts.user_id')} AS user_id, CASE WHEN op <> 'd' THEN value::DECIMAL(38,2) END AS amount, number AS _mig_lsn, op = 'd' AS _mig_deleted
+      FROM g, h QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY number DESC, "offset" <= half DESC, "offset" DESC) = 1"""
+)
+def applier_protected_state(spark, sf_dir):
+    """The target table after all messages: keys are tokens, amounts decimals; the payload of tombstones depends on the path."""
+    rows = _applied(spark, sf_dir, Plan("p", (ACCOUNTS,))).target("app.accounts")
+    return rows.select("user_id", F.when(~F.col(META_DELETED), F.col("amount")).alias("amount"), META_LSN, META_DELETED)
+
+
+@query(
+    f"""WITH {_LOG}, {_MESSAGES} SELECT "offset", CASE WHEN broken THEN NULL WHEN planned THEN 'app.accounts' ELSE 'bank.accounts' END AS source_table,
+      CASE WHEN NOT broken AND planned THEN {_token_sql('user_id::VARCHAR', 'app.accounts.user_id')} END AS token, 'permanent' AS error_class, 'quarantined' AS status, 1 AS attempts, true AS sealed
+      FROM m WHERE NOT empty AND (broken OR odd OR NOT planned)"""
+)
+def applier_dead_letters(spark, sf_dir):
+    """Letters of all messages that couldn't be applied; their messages are sealed, keys of planned tables are tokens."""
+    letters = _applied(spark, sf_dir, Plan("p", (ACCOUNTS,))).letters()
+    key = F.element_at(F.from_json("row_key", "map<string,string>"), "user_id")
+    return letters.select("offset", "source_table", key.alias("token"), "error_class", "status", "attempts", protect.is_ciphertext(F.col("payload")).alias("sealed"))
+
+
+@query(
+    f"""WITH {_LOG}, {_MESSAGES}, g AS (SELECT * FROM m WHERE NOT empty AND NOT broken AND NOT odd AND NOT planned),
+      r AS (SELECT 'row' AS kind, {_token_sql('user_id::VARCHAR', 'bank.accounts.user_id')} AS name, number AS n FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY number DESC, "offset" DESC) = 1)
+      SELECT * FROM r UNION ALL SELECT 'letter', CASE WHEN broken OR odd THEN 'quarantined' ELSE 'resolved' END, count(*) FROM m WHERE NOT empty AND (broken OR odd OR NOT planned) GROUP BY 2"""
+)
+def applier_replay(spark, sf_dir):
+    """All letters sent back and replayed under a plan that has the table: its rows, and how many letters ended how."""
+    first = _applied(spark, sf_dir, Plan("p", (ACCOUNTS,)))
+    again = Applier(spark, Plan("p", (ACCOUNTS, BANK)), first.store, protect.StaticKey(_MASTER, acknowledged=True), clock=first.clock)
+    again.requeue(F.lit(True), "ops")
+    while again.replay(limit=1 << 20):
+        pass
+    rows = again.target("bank.accounts").select(F.lit("row").alias("kind"), F.col("user_id").alias("name"), F.col(META_LSN).alias("n"))
+    return rows.unionByName(again.letters().groupBy(F.lit("letter").alias("kind"), F.col("status").alias("name")).agg(F.count(F.lit(1)).alias("n")))
+
+
 @query("SELECT c_custkey, length(c_name) AS n, regexp_replace(regexp_replace(c_name, '[A-Za-z]', 'a', 'g'), '[0-9]', '0', 'g') AS shape FROM customer")
 def token_shape(spark, sf_dir):
     """Tokens differ from names but have their shape."""

@@ -155,3 +155,19 @@ def test_plan():
         with pytest.raises(ValueError):
             load_plan(bad)
     assert Plan("p").names() == []
+
+
+def test_texts_of_all_lengths_can_be_opened(spark):
+    key = bytes(range(32))
+    texts = spark.range(300).select(F.expr("repeat('é', cast(id as int))").alias("v")).repartition(2)
+    for seal in (protect.encrypt, protect.encrypt_deterministic):
+        sealed = texts.select("v", seal(key, "d", F.col("v")).alias("s"))
+        opened = sealed.select("v", "s", protect.decrypt(key, "d", F.col("s")).alias("o"))
+        assert opened.filter("NOT (v <=> o) OR s rlike '[\\r\\n=]'").count() == 0
+
+
+def test_row_keys_are_protected_as_the_plan_says(spark):
+    spec = TableSpec("a.t", "b.t", ("id", "part"), (ColumnSpec("id", protect=Protection.TOKENIZE), ColumnSpec("part"), ColumnSpec("gone", protect=Protection.REDACT)))
+    keys = spark.createDataFrame([({"id": "7", "part": "x", "other": "y", "gone": "z"},), (None,)], "k map<string,string>")
+    found = keys.select(protect.protect_key(F.col("k"), spec, b"k" * 32).alias("k"), protect.token(b"k" * 32, "a.t.id", F.lit("7")).alias("t")).collect()
+    assert found[0]["k"] == {"id": found[0]["t"], "part": "x", "other": "y"} and found[1]["k"] is None

@@ -1,12 +1,14 @@
 import json
 import os
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quaymark.functions import protect
 from quaymark.operators import gate
-from quaymark.plans.spec import META_DELETED, META_LSN, ColumnSpec, Plan, TableSpec
+from quaymark.plans.spec import META_DELETED, META_LSN, META_UPDATED, ColumnSpec, Logical, Plan, Protection, TableSpec
 from quaymark.sources import control, parts, scans
 from quaymark.sources.versioned import VersionedStore
 from quaymark.streaming.applier import Applier
@@ -105,12 +107,78 @@ def test_applier_end_to_end(spark, tmp_path):
     rows = {r["id"]: r for r in store.table("core_accounts", applier.target_schema("app.accounts")).collect()}
     assert (rows["A"]["value"], rows["A"][META_LSN]) == ("b", 200) and rows["B"][META_DELETED]
     assert store.table("offsets", "topic string, partition int, last_offset long, last_lsn long").first()["last_offset"] == 7
-    assert store.table("letters", "topic string, partition int, offset long, table string, op string, error string").count() == 2
+    letters = {r["offset"]: r for r in applier.letters().collect()}
+    assert sorted(letters) == [3, 7] and {r["status"] for r in letters.values()} == {"quarantined"} and {r["payload"] for r in letters.values()} == {None}
+    assert applier.letters().filter("attempts <> 1 OR error_class <> 'permanent'").count() == 0
     before = store.current()
     applier.apply_batch(spark.createDataFrame([], "topic string, partition int, offset long, key string, value string"), before[1])
     assert store.current() == before
 
 
+def test_a_batch_writes_the_rows_it_concerns(spark, tmp_path):
+    """Rows written don't depend on the table's size; states are as a whole rewrite would leave them."""
+    schema = f"id long, v long, {META_LSN} long, {META_DELETED} boolean, {META_UPDATED} timestamp"
+
+    def states(df, lsn):
+        return df.select("id", (F.col("id") * lsn).alias("v"), F.lit(lsn).cast("long").alias(META_LSN), F.lit(False).alias(META_DELETED), F.lit(None).cast("timestamp").alias(META_UPDATED))
+
+    written = {}
+    for size in (100, 20_000):
+        store = VersionedStore(spark, f"file://{tmp_path}/{size}", buckets=4, deltas=3)
+        store.commit({}, 0, {"t": (states(spark.range(size), 1), ["id"])})
+        total = 0
+        for b in range(1, 8):
+            version = store.commit({}, b, {"t": (states(spark.range(10), b + 1), ["id"])})
+            total += spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(f"file://{tmp_path}/{size}/v={version}").count()
+        written[size] = total
+        rows = store.table("t", schema)
+        assert store.current() == (8, 7) and rows.count() == size and rows.filter("id < 10").filter(f"{META_LSN} <> 8 OR v <> id * 8").count() == 0
+        assert store.rows_of("t", schema, spark.range(3), ["id"]).count() == 3
+        store.drop_before(8)
+        assert store.table("t", schema).count() == size and store.commit({}, 3, {"t": (states(spark.range(1), 9), ["id"])}) == 8
+    assert written[100] == written[20_000] <= 7 * 30
+
+
+def test_no_clear_value_reaches_the_store(spark, tmp_path):
+    plan = Plan("p", (TableSpec("app.accounts", "core.accounts", ("id",), (ColumnSpec("id", protect=Protection.TOKENIZE), ColumnSpec("v", Logical.INT), ColumnSpec("note", protect=Protection.ENCRYPT), ColumnSpec("card", protect=Protection.REDACT))),))
+    store = VersionedStore(spark, f"file://{tmp_path}/store")
+    with pytest.raises(ValueError):
+        Applier(spark, plan, store)
+    now = [datetime(2024, 1, 1, tzinfo=UTC)]
+    applier = Applier(spark, plan, store, protect.StaticKey(bytes(range(32)), acknowledged=True), clock=lambda: now[0])
+
+    def of(offset, key, value, table="accounts", op="c"):
+        image = {"id": key, "v": value, "note": f"note of {key}", "card": "4111-clear", "other": "unplanned-clear"}
+        body = {"op": op, "after": image, "source": {"schema": "app", "table": table, "lsn": offset + 1}}
+        return ("t", 0, offset, json.dumps({"id": key}), json.dumps(body))
+
+    rows = [of(0, "secret-a", "1"), of(1, "secret-b", "not a number"), of(2, "secret-c", "3", "elsewhere"), of(3, "secret-a", "2", op="u"), ("t", 0, 4, None, "{secret-broken")]
+    applier.apply_batch(spark.createDataFrame(rows, "topic string, partition int, offset long, key string, value string"), 0)
+    stored = applier.target("app.accounts").collect()
+    assert [(r["v"], r[META_LSN], "card" in r.asDict()) for r in stored] == [(2, 4, False)]
+    assert sorted((r["offset"], r["error_class"], r["status"]) for r in applier.letters().collect()) == [(1, "permanent", "quarantined"), (2, "permanent", "quarantined"), (4, "permanent", "quarantined")]
+    for r in spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(f"file://{tmp_path}/store").select("path", "content").collect():
+        held = "" if not r["path"].endswith(".parquet") else repr(spark.read.parquet(r["path"]).collect())
+        for clear in ("secret", "4111-clear", "note of", "unplanned-clear"):
+            assert clear not in held and clear.encode() not in bytes(r["content"])
+    # Sent back and replayed: claimed first, then each with its own outcome.
+    assert applier.replay() == 0
+    applier.requeue(F.col("offset") == 2, "ops")
+    claims = store.current()[0] + 1
+    wider = Applier(spark, Plan("p", (*plan.tables, TableSpec("app.elsewhere", "core.elsewhere", ("id",), plan.tables[0].columns))), store, protect.StaticKey(bytes(range(32)), acknowledged=True), clock=lambda: now[0])
+    assert wider.replay() == 1 and wider.replay() == 0
+    assert wider.target("app.elsewhere").first()["v"] == 3
+    letter = wider.letters().filter("offset = 2").first()
+    assert (letter["status"], letter["attempts"], letter["requeued_by"]) == ("resolved", 1, "ops")
+    claimed = spark.read.parquet(f"file://{tmp_path}/store/v={claims}/letters").first()
+    assert claimed["status"] == "retrying"
+    # A claim that never came back is taken over when its lease is over.
+    store.commit({}, changes={"letters": (wider.letters().filter("offset = 1").withColumn("status", F.lit("retrying")).withColumn("next_retry_at", F.lit(now[0]).cast("timestamp")), ["topic", "partition", "offset"])})
+    assert wider.replay() == 0
+    now[0] += timedelta(hours=1)
+    assert wider.replay() == 1 and wider.letters().filter("offset = 1").first()["status"] == "quarantined"
+
+
 def test_live_window(spark, tmp_path):
     rows = [("t", 1, "row", "c1", "k1", "a"), ("t", 2, "row", "c1", "k2", "b"), ("t", 3, "row", "c1", "k3", "c"), ("t", 4, "low", "old", "", ""), ("t", 5, "event", "", "k1", ""), ("t", 6, "low", "c1", "", ""), ("t", 7, "event", "", "k2", ""), ("t", 8, "high", "c1", "", "")]
     source = tmp_path / "in"

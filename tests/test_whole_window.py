@@ -8,9 +8,9 @@ def test_no_chunk_is_lost_whatever_its_id(spark, tmp_path):
     events.write.parquet(str(tmp_path / "events.parquet"))
     db = database("/nowhere")
     db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
-    for name in ("window_eviction_all", "window_stats_all", "window_rejections_all"):
+    for name in ("window_eviction", "window_stats", "window_rejections"):
         assert_equal(registry.QUERIES[name](spark, str(tmp_path)), db, registry.ORACLE_SQL[name])
-    stats = {r["chunk_id"]: r for r in registry.window_stats_all(spark, str(tmp_path)).collect()}
+    stats = {r["chunk_id"]: r for r in registry.window_stats(spark, str(tmp_path)).collect()}
     assert sum(r["rows_buffered"] for r in stats.values()) == 2500
     # Of 300 users those of 119 events between the marks are evicted.
     assert stats["1000"]["rows_emitted"] > 0 and stats["1000"]["rows_evicted"] > 0
