@@ -23,7 +23,9 @@ _BLOCK = frozenset(
     "table tbody td tfoot th thead tr ul caption".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe svg title textarea math object canvas audio video head".split())
+_RAW = frozenset("script style noscript template iframe svg title textarea head".split())
+#: Of these an element without an end goes on to the end of the page; any other one that has none is as if it weren't there.
+_ENDLESS = frozenset("script style title textarea".split())
 #: Elements that a new one ends when it begins, up to the container that holds them.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -70,6 +72,11 @@ def _tokens(attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+@lru_cache(maxsize=32)
+def _end_of(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\b[^>]*+>", re.I)
+
+
 def parse(source: str) -> Page:
     """A page's blocks; unclosed and misplaced tags end where browsers would end them, as far as text goes."""
     page = Page()
@@ -117,8 +124,8 @@ def parse(source: str) -> Page:
             if name == "head":  # what it holds is raw or void
                 continue
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*+>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                end = _end_of(name).search(source, at)
+                at = end.end() if end else len(source) if name in _ENDLESS else at
             controls += name == "textarea"
             continue
         if name in _BLOCK:
@@ -280,7 +287,7 @@ class Extractor:
 
 
 @lru_cache(maxsize=2)
-def trained(pages: int = 600, seed: int = 7) -> Extractor:
+def trained(pages: int = 1500, seed: int = 7) -> Extractor:
     """Fitted on generated pages of which the main text is known; ``pages`` bounds them."""
     samples = html_samples.generate(pages, seed)
     parsed = [parse(s) for s, _ in samples]

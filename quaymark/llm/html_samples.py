@@ -17,7 +17,10 @@ _PARTS = {
     "form": "form search newsletter subscribe signup login contact register searchform".split(),
     "comments": "comments comment commentlist disqus respond reply replies discussion responses thread feedback reader reviews".split(),
 }
-_SOUNDS = "a e i o u an en er or th st re qu la ti on sch eau ción é ü ä ñ ß ing ka mo ле на то ви 日 本 の".split()
+#: Sounds that words are made of, by rule, and some of other scripts.
+_SOUNDS = [c + v for c in "bdfgklmnprtvz" for v in "aeiou"] + "ar el im on us å ø ñ ç ß да но ки 山 水 の ع ש".split()
+#: Names that sites give to no purpose that one could learn from.
+_NEUTRAL = "a b c box row col grid left right wrap flex g1 g2 block unit layer zone cell item".split()
 
 
 class _Writer:
@@ -78,10 +81,20 @@ class _Writer:
         return f"<div>{self.mark(self.prose(4))}</div>" if self.r.random() < 0.5 else f"<section>{self.paragraph()}{self.paragraph()}</section>"
 
     def links(self, low: int, high: int) -> str:
-        many = range(self.r.randint(low, high))
-        if self.r.random() < 0.7:
-            return "<ul>" + "".join(f'<li><a href="/{k}">{" ".join(self.words(1, 4))}</a></li>' for k in many) + "</ul>"
-        return self.r.choice([" | ", " ", "\n", ""]).join(f'<a href="/{k}">{" ".join(self.words(1, 3))}</a>' for k in many)
+        """A list of links: in items, in paragraphs, in a row, some with a word or date beside them."""
+        made = []
+        for k in range(self.r.randint(low, high)):
+            name = " ".join(self.words(1, 5))
+            made.append(f'<a href="{self.r.choice(["/", "#", "https://x.example/"])}{k}">{name}</a>' + (f" {self.r.randint(1, 99)}" if self.r.random() < 0.08 else ""))
+        kind = self.r.random()
+        if kind < 0.55:
+            t = self.r.choice(["ul", "ul", "ol"])
+            return f"<{t}>" + "".join(f"<li>{x}{self.r.choice(['</li>', '</li>', ''])}" for x in made) + f"</{t}>"
+        if kind < 0.65:
+            return "".join(f"<p>{x}</p>" for x in made)
+        if kind < 0.72:
+            return "".join(f"<div>{x}</div>" for x in made)
+        return self.r.choice([" | ", " ", "\n", "", " &raquo; ", "<br>"]).join(made)
 
     def aside_text(self) -> str:
         r = self.r.random()
@@ -96,12 +109,17 @@ class _Writer:
         tags = {"nav": ["nav"] * 3 + ["div"], "header": ["header"] * 2 + ["div"], "footer": ["footer"] * 3 + ["div"], "aside": ["aside"] * 2 + ["div", "section"], "form": ["form"] * 2 + ["div"]}
         tag = self.r.choice(tags.get(kind, ["div", "div", "section", "aside" if kind in ("ad", "notice") else "div"]))
         named = self.attributes(_PARTS[kind], 0.6 if tag in ("nav", "header", "footer", "aside", "form") else 1.0)
+        if kind in ("nav", "aside", "footer") and self.r.random() < 0.25:  # only what it holds tells what it is
+            named = self.attributes(_NEUTRAL, 0.4)
+            head = f"<h4>{' '.join(self.words(1, 3))}</h4>" if self.r.random() < 0.25 else ""
+            return f"<div{named}>{head}{self.links(3, 12)}</div>"
         if kind == "nav":
-            inside = self.links(1, 9)
+            inside = self.links(1, 12)
         elif kind == "header":
             inside = self.r.choice([f"<h1>{' '.join(self.words(1, 5))}</h1>", f'<a href="/">{" ".join(self.words(1, 3))}</a>', f"<p>{self.sentence()}</p>"]) + (self.links(2, 6) if self.r.random() < 0.5 else "")
         elif kind == "footer":
-            inside = self.r.choice([f"&copy; {self.r.randint(1999, 2030)} {self.sentence()}", f"&copy; www.{self.r.choice(self.lexicon)}.example &middot; {self.prose(2)}", f"<p>{self.prose(3)}</p>", self.links(2, 8)])
+            rights = f"{self.r.choice(['&copy;', '©', '(c)', 'Copyright'])} {self.r.randint(1995, 2030)} {' '.join(self.words(1, 5))}"
+            inside = self.r.choice([rights, f"<p>{rights}. {self.sentence()}</p>", f"{self.links(2, 6)}<p>{rights}</p>", f"<p>{self.prose(3)}</p>", f"<small>{self.prose(2)}</small>", self.links(2, 8)])
         elif kind == "aside":
             inside = self.r.choice([self.links(2, 8), self.aside_text(), f"<h3>{' '.join(self.words(1, 3))}</h3>" + self.links(3, 6)])
         elif kind == "form":
@@ -114,41 +132,69 @@ class _Writer:
             inside = self.r.choice(["", f"<h3>{' '.join(self.words(1, 3))}</h3>"]) + "".join(f"<{one}{named_one}><b>{self.r.choice(self.lexicon)}</b> <p>{self.prose(4)}</p></{one}>" for _ in range(self.r.randint(1, 5)))
         else:
             inside = self.aside_text()
+        if kind in ("notice", "ad", "form", "share") and self.r.random() < 0.12:
+            named = self.r.choice([' hidden', ' style="display:none"', ' style="display: none; width:1px"'])
         return f"<{tag}{named}>{inside}</{tag}>"
 
     def parts(self, kinds: list[str], chance: float) -> str:
         return "".join(self.part(k) for k in kinds if self.r.random() < chance)
 
-    def page(self) -> str:
+    def article(self) -> tuple[str, bool]:
+        """The main text in its element, and whether reader comments are in it."""
         blocks = []
         if self.r.random() < 0.75:
-            title = " ".join(self.words(1, 10)).capitalize()
-            blocks.append(f"<h1>{self.mark(title)}</h1>")
-        for _ in range(self.r.choice([1, 1, 2, 3, 4, 6, 9, 14])):
+            heading = f"<{(t := self.r.choice(['h1', 'h1', 'h1', 'h2']))}>{self.mark(' '.join(self.words(1, 12)).capitalize())}</{t}>"
+            blocks.append(f"<header>{heading}</header>" if self.r.random() < 0.08 else heading)
+        for _ in range(self.r.choice([1, 1, 2, 3, 4, 6, 9, 14, 25])):
             blocks.append(self.main_block())
-        for kind in ("ad", "share", "aside", "form", "notice"):
-            if self.r.random() < 0.12:
+        for kind in ("ad", "share", "aside", "form", "notice", "nav"):
+            if self.r.random() < 0.1:
                 blocks.insert(self.r.randint(1, len(blocks)), self.part(kind))
-        inside = self.r.choice(["", "\n"]).join(blocks)
+        inside = self.r.choice(["", "\n", "\n  "]).join(blocks)
+        commented = self.r.random() < 0.12
+        inside += self.part("comments") if commented else ""
         style = self.r.random()
-        late = self.part("comments") if self.r.random() < 0.3 else ""
-        within = late if self.r.random() < 0.4 else ""
+        if style < 0.3:
+            return f"<article{self.attributes(_MAIN, 0.4)}>{inside}</article>", commented
         if style < 0.45:
-            body = f"<article{self.attributes(_MAIN, 0.4)}>{inside}{within}</article>"
-        elif style < 0.6:
-            body = f"<main{self.attributes(_MAIN, 0.4)}>{inside}{within}</main>"
-        elif style < 0.9:
-            body = f"<div{self.attributes(_MAIN, 1.0)}>{inside}{within}</div>"
-        else:
-            body = inside
-        if self.r.random() < 0.25:
-            body = f"<div{self.attributes(_MAIN, 0.7)}>{self.parts(['aside', 'ad'], 0.2)}{body}{self.parts(['aside', 'share'], 0.3)}</div>"
+            return f"<main{self.attributes(_MAIN, 0.4)}>{inside}</main>", commented
+        if style < 0.75:
+            return f"<div{self.attributes(_MAIN, 1.0)}>{inside}</div>", commented
+        if style < 0.9:
+            return f"<{(t := self.r.choice(['div', 'section']))}{self.attributes(_NEUTRAL, 0.5)}>{inside}</{t}>", commented
+        return inside, commented
+
+    def body(self) -> str:
+        """One of several ways to lay a page out."""
+        main, commented = self.article()
+        late = self.part("comments") if not commented and self.r.random() < 0.25 else ""
+        side = lambda chance: self.parts(["aside", "nav", "ad", "form", "aside"], chance)
+        layout = self.r.choice(["flow", "flow", "columns", "columns", "cells", "deep", "plain"])
+        if layout == "plain":
+            return main + late + self.parts(["footer"], 0.3)
+        if layout == "columns":
+            columns = [f"<div{self.attributes(_NEUTRAL + _MAIN, 0.6)}>{main}{late}</div>"]
+            for _ in range(self.r.randint(1, 2)):
+                columns.insert(self.r.choice([0, len(columns)]), f"<{(t := self.r.choice(['div', 'div', 'aside', 'section']))}{self.attributes(_NEUTRAL + _PARTS['aside'], 0.6)}>{side(0.5) or self.part('aside')}</{t}>")
+            main, late = f"<div{self.attributes(_NEUTRAL, 0.6)}>{''.join(columns)}</div>", ""
+        if layout == "cells":  # as pages were laid out once
+            cells = [f"<td>{main}{late}</td>"]
+            cells.insert(self.r.choice([0, 1]), f"<td>{side(0.5) or self.part('nav')}</td>")
+            main, late = f"<table><tr>{''.join(cells)}</tr></table>", ""
+        if layout == "deep":
+            for _ in range(self.r.randint(1, 5)):
+                main = f"<div{self.attributes(_NEUTRAL + _MAIN, 0.5)}>{side(0.08)}{main}{side(0.08)}</div>"
         top = self.parts(["notice", "header", "nav", "ad", "form"], 0.45)
-        rest = ("" if within else late) + self.parts(["aside", "ad", "share", "form", "notice"], 0.25) + self.parts(["footer"], 0.85)
-        if self.r.random() < 0.35:  # a bare page: menu, advert, article, footer
-            top = f"<nav>{self.links(2, 9)}</nav><!-- ad --><div class=\"ad\">{self.prose(3)}</div>"
-        end = self.r.choice(["</body></html>", "</body></html>", ""])
-        return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{' '.join(self.words(1, 6))}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>{top}{body}{rest}{end}"
+        return top + main + late + side(0.15) + self.parts(["share", "notice"], 0.2) + self.parts(["footer"], 0.8)
+
+    def page(self) -> str:
+        head = f"<title>{' '.join(self.words(1, 6))}</title>" if self.r.random() < 0.8 else ""
+        head += self.r.choice(["", f"<style>.{self.r.choice(_NEUTRAL)}{{color:#{self.r.randint(100, 999)}}}</style>", '<link rel="stylesheet" href="/s.css">'])
+        head += self.r.choice(["", f"<script>window.x={self.r.randint(0, 9)}</script>", '<script src="/a.js"></script>', '<meta name="viewport" content="width=device-width">'])
+        body = self.body() + self.r.choice(["", "", f"<script>f({self.r.randint(0, 9)});</script>", "<!-- end -->"])
+        if self.r.random() < 0.15:
+            return body  # a fragment
+        return f"{self.r.choice(['<!DOCTYPE html>', '<!doctype html>', ''])}<html><head>{head}</head><body{self.attributes(_NEUTRAL, 0.2)}>{body}{self.r.choice(['</body></html>', '</body></html>', ''])}"
 
 
 def generate(pages: int, seed: int) -> list[tuple[str, set[str]]]:
