@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quaymark.operators.dead_letters import OPEN
+
 # Which phase may follow which, and the codes of what stands in the way.
 TRANSITIONS = {
     "planning": ["extracting", "failed"],
@@ -111,3 +113,44 @@ def lag_periods(samples: DataFrame, max_lag: float, series: str, at: str = "ts",
 def histogram(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
     """One row: cumulative counts ``le_0`` … of values up to each bound, ``total`` and ``total_value``."""
     return df.agg(*[F.coalesce(F.sum(F.when(F.col(value) <= b, 1)), F.lit(0)).alias(f"le_{i}") for i, b in enumerate(bounds)], F.count(value).alias("total"), F.sum(value).alias("total_value"))
+
+
+def status(state: DataFrame, part_state: DataFrame, letters: DataFrame, runs: DataFrame, lag: DataFrame, now: Column) -> DataFrame:
+    """A row per migration of ``state`` with all that the gate looks at, as ``blockers`` wants it.
+
+    state: ``migration_state``; part_state: ``part_state`` (loaded parts); letters: ``dead_letter``; runs:
+    ``recon_run``; lag: ``migration_id``, ``lag``, ``lag_under_for``. Of runs the last of each table counts; a
+    migration without any was never verified, one without lag samples has infinite lag.
+    """
+    by = "migration_id"
+    loaded = part_state.filter("state = 'loaded'").groupBy(by).agg(F.count(F.lit(1)).cast("int").alias("__loaded"))
+    still = letters.filter(F.col("status").isin(OPEN)).groupBy(by).agg(F.count(F.lit(1)).alias("open_letters"))
+    last = runs.groupBy(by, "source_table").agg(F.max_by(F.struct("complete", "findings", "ran_at"), F.struct("ran_at", "run_id")).alias("r"))
+    checked = last.groupBy(by).agg(F.sum("r.findings").alias("findings"), F.min("r.complete").alias("recon_complete"), F.min("r.ran_at").alias("__ran"))
+    all_ = state.join(loaded, by, "left").join(still, by, "left").join(checked, by, "left").join(lag, by, "left")
+    return all_.select(
+        by, "phase", F.coalesce("lag", F.lit(float("inf"))).alias("lag"), F.coalesce("lag_under_for", F.lit(0.0)).alias("lag_under_for"), F.coalesce("open_letters", F.lit(0)).alias("open_letters"),
+        F.coalesce("findings", F.lit(0)).alias("findings"), F.coalesce("recon_complete", F.lit(False)).alias("recon_complete"), ((F.unix_micros(now) - F.unix_micros("__ran")) / 1e6).alias("recon_age"),
+        "parts_total", F.coalesce("__loaded", F.lit(0)).alias("parts_loaded"), "reverse_armed",
+    )
+
+
+def readiness(observed: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:  # noqa: B008
+    """(``migration_id``, ``ready``, ``code``: 200 or 409, ``blockers``) of each migration."""
+    return blockers(observed, t).select("migration_id", "ready", F.when(F.col("ready"), 200).otherwise(409).alias("code"), "blockers")
+
+
+def metrics(df: DataFrame, labels: list[str], value: str, bounds: list[float]) -> DataFrame:
+    """(labels, ``samples``, ``total``, ``last``, ``buckets``) of each series: a counter, its sum, a gauge, a cumulative histogram.
+
+    ``df`` has ``at``; of samples at the same time the larger value is the last. Sums are formed before the shuffle.
+    """
+    made = df.groupBy(*labels).agg(
+        F.count(value).alias("samples"), F.sum(value).alias("total"), F.max_by(value, F.struct("at", value)).alias("last"),
+        F.array(*[F.coalesce(F.sum(F.when(F.col(value) <= b, 1)), F.lit(0)) for b in bounds], F.count(value)).alias("buckets"),
+    )
+    return made
+
+
+#: Upper bounds of the default histogram, in seconds.
+BUCKETS = [0.001, 0.0025, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30, 60]

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quaymark.functions.digest import range_digest
+from quaymark.functions.canonical import canonical_key, key_hash, key_partition
+from quaymark.functions.digest import range_digest, row_digest
+from quaymark.plans.spec import Plan, TableSpec
 
 # Budgets of a run, kinds of findings.
 LEAF_ROWS, MAX_DEPTH, MAX_FINDINGS = 5000, 48, 1000
@@ -70,8 +73,59 @@ def reconcile(source: DataFrame, target: DataFrame, key: str, digest: Callable[[
 
 
 def summary(findings: DataFrame) -> DataFrame:
-    """(``kind``, ``findings``, ``repairable``): how many of each kind; what the source has can be sent again."""
-    return findings.groupBy("kind").agg(F.count(F.lit(1)).alias("findings")).withColumn("repairable", F.col("kind").isin(MISSING_IN_TARGET, VALUE_MISMATCH))
+    """(``kind``, ``findings``, ``repairable``): how many of each kind; what the source has can be sent again.
+
+    Findings that are recorded (``found_at``) also tell ``first_seen_at``.
+    """
+    seen = [F.min("found_at").alias("first_seen_at")] if "found_at" in findings.columns else []
+    return findings.groupBy("kind").agg(F.count(F.lit(1)).alias("findings"), *seen).withColumn("repairable", F.col("kind").isin(MISSING_IN_TARGET, VALUE_MISMATCH))
+
+
+def in_order(findings: DataFrame, budget: int | None = MAX_FINDINGS) -> DataFrame:
+    """Findings (``key_hash``, ``kind``, ``row_key``) by key hash, what the source has first; no more than the budget."""
+    ordered = findings.orderBy("key_hash", F.col("kind") == MISSING_IN_SOURCE, "row_key")
+    return ordered if budget is None else ordered.limit(budget)
+
+
+def verify_table(source: DataFrame, target: DataFrame, spec: TableSpec, buckets: int = 4096) -> DataFrame:
+    """(``row_key``, ``key_hash``, ``kind``) of all differences of a planned table, tombstones left out on both sides.
+
+    Keys are compared in their canonical form, rows by the digest of the columns that both sides can be compared
+    on. A source whose columns are protected on the target has to come protected.
+    """
+
+    def side(df: DataFrame, as_target: bool) -> DataFrame:
+        df = live(df)
+        names = {c.name: c.target if as_target else c.name for c in spec.columns}
+        key = canonical_key({k: (df[names[k]], df.schema[names[k]].dataType) for k in spec.primary_key})
+        return df.select(key.alias("row_key"), row_digest(df, spec.comparable(), as_target).alias("digest"))
+
+    found = reconcile(side(source, False), side(target, True), "row_key", lambda df: df["digest"], lambda key: key_partition(key, buckets))
+    return found.select("row_key", key_hash(F.col("row_key")).alias("key_hash"), "kind")
+
+
+def verify_plan(plan: Plan, sides: dict[str, tuple[DataFrame, DataFrame]], run_id: str, migration_id: str, at: Column, budget: int = MAX_FINDINGS, buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(runs, findings), as the control tables ``recon_run`` and ``recon_finding`` have them, of all tables of a plan.
+
+    sides: source and target of each planned table; one that is missing is an error. Of each table ``budget``
+    findings are recorded, in order; a run that has more isn't complete.
+    """
+    if missing := sorted(set(plan.names()) - set(sides)):
+        raise ValueError(f"no sides of tables {missing}")
+    runs, findings = [], []
+    for spec in plan.tables:
+        found = in_order(verify_table(*sides[spec.source], spec, buckets), budget + 1).checkpoint()  # once, for both results
+        kept = in_order(found, budget)
+        n = found.agg(F.count(F.lit(1)).cast("int").alias("n"))
+        runs.append(
+            n.select(
+                F.lit(run_id).alias("run_id"), F.lit(migration_id).alias("migration_id"), F.lit(spec.source).alias("source_table"), (F.col("n") <= budget).alias("complete"),
+                F.least("n", F.lit(budget)).alias("findings"), F.lit(2).alias("digests"), at.alias("ran_at"),
+            )
+        )
+        none = F.lit(None).cast("string")
+        findings.append(kept.select(F.lit(run_id).alias("run_id"), "kind", "key_hash", "row_key", none.alias("range_low"), none.alias("range_high"), at.alias("found_at")))
+    return reduce(DataFrame.unionByName, runs), reduce(DataFrame.unionByName, findings)
 
 
 def boundaries(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -17,7 +17,7 @@ from quaymark.functions import canonical, digest, protect, redaction
 from quaymark.operators import apply, cdc, dead_letters, gate, recon, window
 from quaymark.plans import fixtures as fx
 from quaymark.plans.spec import META_DELETED, META_LSN, META_UPDATED, ColumnSpec, Logical, Plan, Protection, TableSpec
-from quaymark.sources import parts, scans
+from quaymark.sources import control, parts, scans
 from quaymark.sources.versioned import VersionedStore
 from quaymark.streaming.applier import Applier
 
@@ -440,6 +440,40 @@ def recon_differing_buckets(spark, sf_dir):
 
 
 # Chunks of all events, marks of every chunk that there is.
+# A recorded run over a plan of two tables; of each at most so many findings, in order.
+
+_RECON_BUDGET = 30
+_RUN_AT = "2024-02-01"
+_PLAN_FINDINGS = f"""{_TARGET}, {_DIGESTS}, f AS ({_FINDINGS}),
+    k AS (SELECT kind, '10:o_orderkey=' || octet_length(encode(o_orderkey::VARCHAR)) || ':' || o_orderkey::VARCHAR || ';' AS row_key FROM f),
+    o AS (SELECT kind, row_key, rtrim(replace(replace(substr(to_base64(unhex(substr(sha256(row_key), 1, 18))), 1, 12), '+', '-'), '/', '_'), '=') AS key_hash FROM k),
+    kept AS (SELECT * FROM o QUALIFY row_number() OVER (ORDER BY key_hash, kind = 'missing_in_source', row_key) <= {_RECON_BUDGET})"""
+
+
+def _plan_run(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    _shared(spark)
+    plain = TableSpec("crm.customer", "crm.customer", ("c_custkey",), (ColumnSpec("c_custkey", Logical.INT), ColumnSpec("c_name")))
+    c, o = fx.table(spark, sf_dir, "customer"), fx.table(spark, sf_dir, "orders")
+    sides = {"crm.customer": (c, c), "tpch.orders": (o, fx.orders_target(spark, sf_dir))}
+    return recon.verify_plan(Plan("p", (plain, fx.ORDERS)), sides, "run-1", "m", F.lit(_RUN_AT).cast("timestamp"), budget=_RECON_BUDGET, buckets=64)
+
+
+@query(f"""WITH {_PLAN_FINDINGS} SELECT 'tpch.orders' AS source_table, (SELECT count(*) FROM o) <= {_RECON_BUDGET} AS complete, (SELECT count(*) FROM kept)::INTEGER AS findings, 2 AS digests
+    UNION ALL SELECT 'crm.customer', true, 0, 2""")
+def recon_plan_runs(spark, sf_dir):
+    return _plan_run(spark, sf_dir)[0].select("source_table", "complete", "findings", "digests")
+
+
+@query(f"WITH {_PLAN_FINDINGS} SELECT 'run-1' AS run_id, kind, key_hash, row_key FROM kept")
+def recon_plan_findings(spark, sf_dir):
+    return _plan_run(spark, sf_dir)[1].select("run_id", "kind", "key_hash", "row_key")
+
+
+@query(f"WITH {_PLAN_FINDINGS} SELECT kind, count(*) AS findings, epoch_us(TIMESTAMP '{_RUN_AT}') AS first_seen, kind <> 'missing_in_source' AS repairable FROM kept GROUP BY kind")
+def recon_plan_summary(spark, sf_dir):
+    return recon.summary(_plan_run(spark, sf_dir)[1]).withColumn("first_seen", F.unix_micros("first_seen_at")).drop("first_seen_at")
+
+
 _CHUNKS = """chunk AS (SELECT (event_id // 1000)::VARCHAR AS chunk_id, event_id AS ord, user_id, value FROM events),
     marks AS (SELECT DISTINCT (event_id // 1000 * 1000)::BIGINT + 300 AS low, (event_id // 1000 * 1000)::BIGINT + 420 AS high, (event_id // 1000)::VARCHAR AS chunk_id FROM events),
     gone AS (SELECT c.chunk_id, c.ord FROM chunk c JOIN marks m USING (chunk_id) WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.user_id AND e.event_id > m.low AND e.event_id < m.high))"""
@@ -693,6 +727,43 @@ def cutover_blockers(spark, sf_dir):
     return gate.blockers(_observed(spark, sf_dir)).select("event_id", F.concat_ws(",", "blockers").alias("blockers"), "ready")
 
 
+@query(
+    f"""WITH {_LETTERS}, {_PLAN_FINDINGS}, e AS (SELECT max(event_id % 3600)::DOUBLE AS under FROM events),
+      p AS (SELECT count(DISTINCT o_orderkey // 1000) AS total, count(DISTINCT o_orderkey // 1000) FILTER ((o_orderkey // 1000) % 7 <> 3 AND (o_orderkey // 1000) % 3 = 0) AS loaded FROM orders)
+      SELECT 'm' AS migration_id, false AS ready, 409 AS code, array_to_string(list_sort(list_filter([CASE WHEN e.under < 900 THEN 'lag_not_stable_long_enough' END,
+        CASE WHEN (SELECT count(*) FROM letters WHERE status IN ('pending', 'retrying', 'quarantined')) > 0 THEN 'open_dead_letters' END, CASE WHEN (SELECT count(*) FROM kept) > 0 THEN 'reconciliation_findings' END,
+        CASE WHEN (SELECT count(*) FROM o) > {_RECON_BUDGET} THEN 'reconciliation_incomplete' END, CASE WHEN (SELECT count(*) FROM o) <= {_RECON_BUDGET} THEN 'reconciliation_stale' END, CASE WHEN p.loaded < p.total THEN 'parts_not_loaded' END,
+        'reverse_replication_not_armed'], lambda x: x IS NOT NULL)), ',') AS blockers FROM e, p
+      UNION ALL SELECT 'new', false, 409, 'lag_above_threshold,reconciliation_incomplete,reverse_replication_not_armed,wrong_phase'"""
+)
+def cutover_readiness(spark, sf_dir):
+    """Readiness of two migrations, from letters, parts, a recorded run and lag: one under way, one that has only been planned."""
+    states = spark.createDataFrame([("m", "verifying", 0, 0, False, None), ("new", "planning", 0, 0, False, None)], control.SCHEMAS["migration_state"])
+    parts_ = fx.order_parts(spark, sf_dir)
+    total = F.when(F.col("migration_id") == "m", F.lit(parts_.count())).otherwise(F.lit(0)).cast("int")
+    letters = fx.letters(spark, sf_dir).withColumn("migration_id", F.lit("m"))
+    lag = fx.table(spark, sf_dir, "events").agg(F.lit("m").alias("migration_id"), F.lit(3.0).alias("lag"), F.max(F.col("event_id") % 3600).cast("double").alias("lag_under_for"))
+    observed = gate.status(states.withColumn("parts_total", total), parts_.withColumn("migration_id", F.lit("m")), letters, _plan_run(spark, sf_dir)[0], lag, F.lit("2024-03-01").cast("timestamp"))
+    return gate.readiness(observed).withColumn("blockers", F.concat_ws(",", "blockers"))
+
+
+@query(
+    f"""SELECT event_type, count(value) AS samples, round(sum(value), 2) AS total, arg_max(value, (ts, value)) AS last,
+        array_to_string([{', '.join(f"count(*) FILTER (value <= {b})" for b in gate.BUCKETS)}, count(value)], ',') AS buckets FROM events GROUP BY 1"""
+)
+def metrics_by_type(spark, sf_dir):
+    found = gate.metrics(fx.table(spark, sf_dir, "events").withColumn("at", F.col("ts")), ["event_type"], "value", gate.BUCKETS)
+    return found.withColumn("total", F.round("total", 2)).withColumn("buckets", F.array_join(F.transform("buckets", lambda x: x.cast("string")), ","))
+
+
+@query("SELECT (r // 100)::BIGINT AS chunk, o_custkey AS upper_bound FROM (SELECT c_custkey AS o_custkey, row_number() OVER (ORDER BY c_custkey) AS r FROM customer WHERE NOT coalesce(c_custkey % 5 = 0, false)) WHERE r % 100 = 0")
+def extract_chunks(spark, sf_dir):
+    """Chunks of a planned table without the rows that it excludes, of the size that it declares."""
+    _shared(spark)
+    spec = TableSpec("crm.customer", "crm.customer", ("c_custkey",), (ColumnSpec("c_custkey", Logical.INT), ColumnSpec("c_name")), chunk_size=100, exclude="c_custkey % 5 = 0")
+    return scans.chunk_bounds(fx.table(spark, sf_dir, "customer"), spec)
+
+
 _REASONS = [("", "x" * 30, ["a"]), ("ann", "short", ["a"]), ("ann", "ü" * 10, ["a"]), ("ann", "a perfectly good reason", ["b"]), ("ann", "a perfectly good reason", ["b", "a", "c"])]
 
 

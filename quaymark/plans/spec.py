@@ -146,3 +146,37 @@ def load_plan(text: str) -> Plan:
     if found := plan.problems():
         raise ValueError("; ".join(found))
     return plan
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What a run may set: sizes of batches, budgets of a verification, the gate's thresholds."""
+
+    migration_id: str = ""
+    files_per_batch: int = 1000
+    trigger_ms: int = 500
+    store_buckets: int = 64
+    leaf_rows: int = 5000
+    max_depth: int = 48
+    max_findings: int = 1000
+    max_lag_seconds: float = 10
+    lag_stable_seconds: float = 900
+
+    def problems(self) -> list[str]:
+        sizes = ("files_per_batch", "trigger_ms", "store_buckets", "leaf_rows", "max_depth", "max_findings")
+        return [f"{n} must be positive" for n in sizes if getattr(self, n) <= 0] + [f"{n} is negative" for n in ("max_lag_seconds", "lag_stable_seconds") if getattr(self, n) < 0]
+
+
+def load_settings(text: str = "{}", environ: dict[str, str] | None = None, prefix: str = "QUAYMARK_") -> Settings:
+    """Settings from JSON, over which variables with the prefix go; unknown fields, also of the prefix, and bad values are errors."""
+    given = dict(_only(Settings, json.loads(text)))
+    kinds = {f.name: type(f.default) for f in fields(Settings)}
+    overlay = {n.removeprefix(prefix).lower(): v for n, v in (environ or {}).items() if n.startswith(prefix)}
+    given |= _only(Settings, overlay)
+    try:
+        made = Settings(**{n: kinds[n](v) for n, v in given.items()})
+    except (TypeError, ValueError) as error:
+        raise ValueError(f"settings: {error}") from error
+    if found := made.problems():
+        raise ValueError("; ".join(found))
+    return made

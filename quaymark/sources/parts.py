@@ -10,11 +10,16 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymark.functions.canonical import canonical_value
+from quaymark.operators import apply
+from quaymark.plans.spec import META_DELETED, META_LSN, META_UPDATED, Protection, TableSpec
+from quaymark.sources.control import SCHEMAS
+from quaymark.sources.versioned import VersionedStore
 
 # How parts are written, when they are closed, the manifest's version.
 DELIMITER, QUOTE, NULL_SENTINEL = ",", '"', "\\N"
@@ -45,6 +50,24 @@ def _quoted(text: str) -> str:
     return '"' + text.replace('"', '""') + '"' if any(c in text for c in ',"\n\r') or text.startswith(" ") else text
 
 
+class _Hashed:
+    """A file of which size and SHA-256 are known when it is written."""
+
+    def __init__(self, name: str):
+        self.name, self.size, self.digest, self._out = name, 0, hashlib.sha256(), open(name, "wb")  # noqa: SIM115
+
+    def write(self, data: bytes) -> int:
+        self.size += len(data)
+        self.digest.update(data)
+        return self._out.write(data)
+
+    def flush(self) -> None:
+        self._out.flush()
+
+    def close(self) -> None:
+        self._out.close()
+
+
 def write_parts(df: DataFrame, folder: str, table: str, columns: list[str], key: str, rows_per_part: int = ROLL_ROWS, bytes_per_part: int = ROLL_BYTES, compress: bool = False) -> DataFrame:
     """Write ``df`` in key order as parts into a folder that all executors share; a row of PART for each.
 
@@ -62,11 +85,11 @@ def write_parts(df: DataFrame, folder: str, table: str, columns: list[str], key:
         done = []
 
         def close(p: dict) -> None:
-            p["out"].close()
-            os.replace(p["path"] + ".tmp", p["path"])
-            with open(p["path"], "rb") as stored:
-                digest = hashlib.file_digest(stored, "sha256").hexdigest()
-            done.append((0, os.path.basename(p["path"]), os.path.getsize(p["path"]), p["rows"], digest, compress, p["first"], p["last"], "sealed"))
+            if compress:
+                p["out"].close()
+            p["file"].close()
+            os.replace(p["file"].name, p["path"])
+            done.append((0, os.path.basename(p["path"]), p["file"].size, p["rows"], p["file"].digest.hexdigest(), compress, p["first"], p["last"], "sealed"))
 
         for frame in frames:
             lines = frame[columns].apply(lambda c: c.map(_quoted)).agg(DELIMITER.join, axis=1) if len(frame) else []
@@ -78,7 +101,10 @@ def write_parts(df: DataFrame, folder: str, table: str, columns: list[str], key:
                 if part is None:
                     name = f"{slug(table)}.dat.{task:05d}-{next(numbers):05d}" + (".gz" if compress else "")
                     path = os.path.join(folder, name)
-                    part = {"path": path, "out": (gzip.open if compress else open)(path + ".tmp", "wb"), "rows": 0, "size": 0, "first": str(at), "last": ""}
+                    file = _Hashed(f"{path}.{TaskContext.get().taskAttemptId()}.tmp")
+                    # Without a time or a name in it, so that a task that is run again writes the same bytes.
+                    out = gzip.GzipFile(filename="", mode="wb", fileobj=file, mtime=0) if compress else file
+                    part = {"path": path, "file": file, "out": out, "rows": 0, "size": 0, "first": str(at), "last": ""}
                 part["out"].write(data)
                 part["rows"] += 1
                 part["size"] += len(data)
@@ -194,3 +220,33 @@ def manifest_totals(parts: DataFrame) -> DataFrame:
 def part_progress(parts: DataFrame) -> DataFrame:
     loaded = F.coalesce(F.sum(F.when(F.col("state") == "loaded", 1).otherwise(0)), F.lit(0))
     return parts.agg(F.count(F.lit(1)).alias("parts_total"), loaded.alias("parts_loaded"))
+
+
+def load(spark: SparkSession, store: VersionedStore, listed: dict, folder: str, spec: TableSpec, migration_id: str, at: Column) -> int:
+    """Verify, read, merge and mark the parts of a manifest that aren't loaded yet; how many were loaded.
+
+    A manifest or file that isn't as it should be is an error, and nothing of it is loaded. Rows go in under the
+    fence with the extract's first sequence number; rows and part states are one version, so that a part is
+    loaded and marked or neither. Columns come as they are in the parts, protected if they are to be.
+    """
+    if problem := manifest_problem(listed):
+        raise ValueError(f"manifest of {spec.source}: {problem}")
+    name, schema = spec.target.replace(".", "_"), T.StructType.fromDDL(SCHEMAS["part_state"])
+    states = store.table("part_state", schema)
+    mine = states.filter((F.col("migration_id") == migration_id) & (F.col("source_table") == spec.source))
+    parts = spark.createDataFrame([tuple(p[c] for c in ("index", "file", "bytes", "rows", "sha256", "state")) for p in listed["parts"]], "index int, file string, bytes long, rows long, sha256 string, state string")
+    todo = unloaded(parts, mine.withColumnRenamed("part_index", "index"), ["index"]).collect()  # a row per file
+    if not todo:
+        return 0
+    if bad := verify_parts(spark, todo, folder).collect():
+        raise ValueError(f"parts of {spec.source}: " + "; ".join(f"{r['file']}: {r['problem']}" for r in bad))
+    kinds = T.StructType([T.StructField(c, T.StringType() if spec.column(c).protect != Protection.NONE else spec.column(c).spark_type()) for c in listed["columns"]])
+    rows = read_parts(spark, [os.path.join(folder, p["file"]) for p in todo], kinds).select(*[F.col(c).alias(spec.column(c).target) for c in listed["columns"]])
+    pk = [spec.column(k).target for k in spec.primary_key]
+    payload = [f for f in rows.columns if f not in pk]
+    meta = T.StructType.fromDDL(f"{META_LSN} long, {META_DELETED} boolean, {META_UPDATED} timestamp")
+    stored = store.rows_of(name, T.StructType([*rows.schema.fields, *meta.fields]), rows, pk)
+    merged = apply.merge_part(stored, rows, pk, payload, listed["extract_start_lsn"], at)
+    done = spark.createDataFrame([(migration_id, spec.source, p["index"], "loaded", p["rows"], p["sha256"], None) for p in todo], schema).withColumn("loaded_at", at)
+    store.commit({}, changes={name: (merged, pk), "part_state": (done, ["migration_id", "source_table", "part_index"])})
+    return len(todo)

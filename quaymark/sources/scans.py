@@ -7,6 +7,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaymark.plans.spec import TableSpec
+
 from quaymark.operators.recon import live, range_filter
 
 
@@ -52,3 +54,16 @@ def row_digests(df: DataFrame, key: str, digest, low: Any = None, high: Any = No
     """(key, ``digest``) of a range, without tombstones where there are any."""
     rows = live(df).filter(range_filter(F.col(key), low, high))
     return rows.select(key, digest(rows).alias("digest"))
+
+
+def extract(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows of a planned table that are migrated: its declared columns, without what ``exclude`` (SQL) says. Null excludes nothing."""
+    rows = df.filter(~F.coalesce(F.expr(spec.exclude), F.lit(False))) if spec.exclude else df
+    return rows.select(*[F.col(c.name) for c in spec.columns])
+
+
+def chunk_bounds(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """(``chunk``, ``upper_bound``) of the table's chunks of ``chunk_size`` rows, by its chunk column, else the first of its key."""
+    from quaymark.operators.recon import boundaries
+
+    return boundaries(extract(df, spec), spec.chunk_column or spec.primary_key[0], spec.chunk_size or TableSpec.chunk_size)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymark.functions import canonical, digest, protect, redaction
-from quaymark.plans.spec import ColumnSpec, Logical, Plan, Protection, TableSpec, load_plan
+from quaymark.plans.spec import ColumnSpec, Logical, Plan, Protection, TableSpec, load_plan, load_settings
 
 
 def one(spark, *columns):
@@ -171,3 +171,11 @@ def test_row_keys_are_protected_as_the_plan_says(spark):
     keys = spark.createDataFrame([({"id": "7", "part": "x", "other": "y", "gone": "z"},), (None,)], "k map<string,string>")
     found = keys.select(protect.protect_key(F.col("k"), spec, b"k" * 32).alias("k"), protect.token(b"k" * 32, "a.t.id", F.lit("7")).alias("t")).collect()
     assert found[0]["k"] == {"id": found[0]["t"], "part": "x", "other": "y"} and found[1]["k"] is None
+
+
+def test_settings_from_file_and_environment():
+    made = load_settings('{"max_findings": 5, "migration_id": "a"}', {"QUAYMARK_MIGRATION_ID": "b", "QUAYMARK_LEAF_ROWS": "7", "HOME": "/"})
+    assert (made.max_findings, made.migration_id, made.leaf_rows, made.max_depth) == (5, "b", 7, 48)
+    for text, environ in (('{"oops": 1}', {}), ("{}", {"QUAYMARK_OOPS": "1"}), ("{}", {"QUAYMARK_LEAF_ROWS": "x"}), ('{"max_depth": 0}', {}), ('{"max_lag_seconds": -1}', {})):
+        with pytest.raises(ValueError):
+            load_settings(text, environ)

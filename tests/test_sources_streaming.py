@@ -49,6 +49,35 @@ def test_changed_parts_are_found(spark, tmp_path):
     assert found[first.name] == "sha256 differs" and "bytes" in found[second.name] and found[third.name] == "missing"
 
 
+def test_parts_are_loaded_and_marked_together(spark, tmp_path):
+    spec = TableSpec("app.accounts", "core.accounts", ("id",), (ColumnSpec("id", Logical.INT), ColumnSpec("name"), ColumnSpec("balance", Logical.DECIMAL, "amount", scale=2)))
+    df, made = extract(spark, tmp_path)
+    m = parts.manifest(made, "app.accounts", "core.accounts", ["id", "name", "balance"], 50, 90)
+    store = VersionedStore(spark, f"file://{tmp_path}/store", buckets=4)
+    schema = Applier(spark, Plan("p", (spec,)), store).target_schema("app.accounts")
+    newer = spark.createDataFrame([(3, "kept", None, 60, False, None), (4, None, None, 70, True, None), (5, "old", None, 10, False, None)], schema)
+    store.commit({}, 7, {"core_accounts": (newer, ["id"])})
+    at = F.lit("2024-01-01").cast("timestamp")
+    assert parts.load(spark, store, m, str(tmp_path), spec, "m", at) == len(made)
+    rows = {r["id"]: r for r in store.table("core_accounts", schema).collect()}
+    assert len(rows) == 25 and store.current() == (2, 7)
+    assert rows[3]["name"] == "kept" and rows[4][META_DELETED] and rows[5][META_LSN] == 50 and rows[6]["name"] is None and str(rows[6]["amount"]) == "6.50"
+    assert parts.load(spark, store, m, str(tmp_path), spec, "m", at) == 0 and store.current() == (2, 7)
+    assert store.table("part_state", control.SCHEMAS["part_state"]).filter("state = 'loaded' AND migration_id = 'm'").count() == len(made)
+    (tmp_path / made[0]["file"]).write_bytes(b"changed")
+    with pytest.raises(ValueError):
+        parts.load(spark, store, m, str(tmp_path), spec, "another", at)
+    with pytest.raises(ValueError):
+        parts.load(spark, store, m | {"total_rows": 1}, str(tmp_path), spec, "another", at)
+
+
+def test_parts_written_again_are_the_same(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    first, second = (sorted((p["file"], p["bytes"], p["sha256"]) for p in extract(spark, tmp_path / d, compress=True)[1]) for d in ("a", "b"))
+    assert first == second and not list(tmp_path.rglob("*.tmp"))
+
+
 def test_manifest_problems():
     part = {"index": 0, "file": "f", "bytes": 1, "rows": 5, "sha256": "x", "gzip": False, "first_key": "", "last_key": "", "state": "sealed"}
     good = {"version": 1, "source_table": "a", "target_table": "b", "columns": ["c"], "delimiter": ",", "extract_start_lsn": 1, "extract_end_lsn": 2, "parts": [part], "total_rows": 5, "complete": True}
