@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -13,6 +14,16 @@ def problems(chunk: DataFrame, keys: list[str], chunk_id: str = "chunk_id") -> D
     return sizes.select(chunk_id, problem.alias("problem")).filter("problem IS NOT NULL")
 
 
+def busy(marks: DataFrame, by: str) -> DataFrame:
+    """(``by``, ``chunk_id``, ``problem``) of windows that open while an earlier one of the same ``by`` (a table) is open.
+
+    marks: ``by``, ``chunk_id``, ``low``, ``high``. A table has a row per chunk, not per row, in the order of their marks.
+    """
+    before = W.partitionBy(by).orderBy("low", "chunk_id").rowsBetween(W.unboundedPreceding, -1)
+    found = marks.withColumn("__until", F.max("high").over(before)).filter(F.col("low") < F.col("__until"))
+    return found.select(by, "chunk_id", F.lit("another chunk of the table is open").alias("problem"))
+
+
 def survivors(chunk: DataFrame, events: DataFrame, marks: DataFrame, keys: list[str], position: str = "lsn") -> DataFrame:
     """Rows of chunks that no event between their chunk's low and high watermark is newer than.
 

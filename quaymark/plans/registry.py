@@ -506,6 +506,17 @@ def window_rejections(spark, sf_dir):
     return window.problems(_window(spark, sf_dir)[0], ["user_id"])
 
 
+@query(
+    """WITH c AS (SELECT DISTINCT event_id // 50 AS c FROM events), m AS (SELECT 'app.t' || (c % 2) AS data_table, c::VARCHAR AS chunk_id, c * 50 + 10 AS low, c * 50 + 20 + CASE WHEN c % 5 = 0 THEN 130 ELSE 0 END AS high FROM c)
+       SELECT data_table, chunk_id, 'another chunk of the table is open' AS problem FROM m QUALIFY low < max(high) OVER (PARTITION BY data_table ORDER BY low, chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+)
+def window_busy(spark, sf_dir):
+    c = F.col("c")
+    chunks = fx.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 50).alias("c")).distinct()
+    high = c * 50 + 20 + F.when(c % 5 == 0, 130).otherwise(0)
+    return window.busy(chunks.select(F.concat(F.lit("app.t"), c % 2).alias("data_table"), c.cast("string").alias("chunk_id"), (c * 50 + 10).alias("low"), high.alias("high")), "data_table")
+
+
 # Protection. Keys of these queries are for tests.
 
 _MASTER = bytes(range(32))
