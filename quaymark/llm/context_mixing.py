@@ -70,14 +70,13 @@ class Code:
         self.lengths = np.diff(self.starts)
         self.width = int(self.nodes.max()) + 1 if len(self.nodes) else 1
         depth = np.arange(len(self.nodes)) - np.repeat(self.starts[:-1], self.lengths)
-        self.gates = (np.minimum(depth, DEPTHS - 1) * 8).astype(np.int32)
+        self.gates = (np.minimum(depth, DEPTHS - 1) * 8).astype(np.uint8)  # these tables are read at random, so they are small
         # The node that a line begins with, and the slot in the line: 0, 1 + bit, 3 + both bits.
         step = depth % LEVELS
         place = np.arange(len(self.nodes))
         before = np.r_[np.uint8(0), self.bits[:-1]].astype(np.uint32), np.r_[np.zeros(2, np.uint8), self.bits[:-2]].astype(np.uint32)[: len(place)]
-        self.slot = np.where(step == 0, 0, np.where(step == 1, 1 + before[0], 3 + 2 * before[1] + before[0])).astype(np.uint32)
+        self.slot = np.where(step == 0, 0, np.where(step == 1, 1 + before[0], 3 + 2 * before[1] + before[0])).astype(np.uint8)
         self.line = mixed(self.nodes[place - step] * _MIX[0] + np.uint32(1)) if len(place) else self.nodes
-        self.sign = np.where(self.bits == 1, np.float32(-1), np.float32(1))
 
     def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the paths of each bit, number of bits of each symbol)."""
@@ -109,8 +108,8 @@ class Mixer:
 
     def refined(self, z: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         place = np.clip((z + np.float32(8)) * np.float32((MAP_STEPS - 1) / 16), np.float32(0), np.float32(MAP_STEPS - 1.001))
-        low = place.astype(np.int32)
-        part = place - low
+        low = place.astype(np.intp)
+        part = place - low.astype(np.float32)
         cell = gate * MAP_STEPS
         cell += low
         left = _at(self.refine, cell)
@@ -120,24 +119,35 @@ class Mixer:
         """Move weights and map by the errors of a block of bits, all predicted before it."""
         z = _at(self.weights[-1], gate)
         for w, xi in zip(self.weights, x, strict=False):
-            z = z + _at(w, gate) * xi
-        n = np.bincount(gate, minlength=GATES)
-        step = rate / np.sqrt(n + 1)
-        miss = y - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            z += _at(w, gate) * xi
+        step = rate / np.sqrt(np.bincount(gate, minlength=GATES) + 1)
+        miss = y - _chance(z)
         out, cell, share = self.refined(z, gate)
         for w, xi in zip(self.weights, x, strict=False):
             w += (step * np.bincount(gate, miss * xi, GATES)).astype(np.float32)
         self.weights[-1] += (step * np.bincount(gate, miss, GATES)).astype(np.float32)
-        miss = y - 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        miss = y - _chance(out)
+        # Sums for the two steps of the map that a bit lies between: of errors and of shares, in one go each.
         size = len(self.refine)
-        right = np.bincount(cell, miss * share, size), np.bincount(cell, share, size)
-        left = np.bincount(cell, miss, size) - right[0], np.bincount(cell, minlength=size) - right[1]
-        for by, (error, weight) in ((0, left), (1, right)):
-            error, weight = (error, weight) if not by else (np.r_[0, error[:-1]], np.r_[0, weight[:-1]])
-            self.refine += (0.2 * error / np.sqrt(weight + 1)).astype(np.float32)
+        error, weight = np.bincount(cell, miss, size), np.bincount(cell, minlength=size).astype(np.float64)
+        upper, above = np.bincount(cell, miss * share, size), np.bincount(cell, share, size)
+        error -= upper
+        weight -= above
+        error[1:] += upper[:-1]
+        weight[1:] += above[:-1]
+        self.refine += (0.2 * error / np.sqrt(weight + 1)).astype(np.float32)
         self.seen += len(y)
 
 
+def _chance(z: np.ndarray) -> np.ndarray:
+    """Of a one, from log-odds in float32."""
+    p = np.clip(z, np.float32(-30), np.float32(30))
+    np.negative(p, out=p)
+    np.exp(p, out=p)
+    p += np.float32(1)
+    return np.reciprocal(p, out=p)
+
+
 class Predictors:
     """A code, count tables and the mixer over them.
 
@@ -177,9 +187,12 @@ class Predictors:
             x = []
             for count, s in zip(self.counts, slots, strict=True):
                 pair = _at(count.view(np.uint64), s).view(np.uint32).reshape(-1, 2)
-                n0, n1 = pair[:, 0].astype(np.float32), pair[:, 1].astype(np.float32)
-                x.append(np.log(n1 + np.float32(_PRIOR)) - np.log(n0 + np.float32(_PRIOR)))
-            gate = _at(self.code.gates, at) + np.log2(np.minimum(n0 + n1, np.float32(127)) + np.float32(1)).astype(np.int32)
+                both = pair.astype(np.float32)
+                both += np.float32(_PRIOR)
+                n0, n1 = both[:, 0], both[:, 1]
+                x.append(np.log(n1 / n0))
+            gate = _at(self.code.gates, at).astype(np.intp)
+            gate += np.log2(np.minimum(n0 + n1, np.float32(127.6)) + np.float32(1 - 2 * _PRIOR)).astype(np.intp)
             self.mixer.learn(x, y, gate, rate)
             w = np.uint32(1) if weight is None else np.repeat(weight[part], sizes).astype(np.uint32)
             for count, s in zip(self.counts, slots, strict=True):
@@ -194,7 +207,9 @@ class Predictors:
 
     def frozen(self, odds: list[np.ndarray], sure: np.ndarray, mixer: Mixer) -> Predictors:
         """With the stored form of all counts and the mean mixer, as scoring needs it."""
-        self.odds, self.sure, self.mixer, self.counts = odds, sure, mixer, []
+        # The last table's log-odds and confidence side by side, as they are read together.
+        last = np.column_stack([odds[-1].view(np.uint8), sure]).reshape(-1).view("<u2")
+        self.odds, self.last, self.mixer, self.counts = odds[:-1], last, mixer, []
         self.scaled = mixer.weights / np.float32(ODDS_STEPS)
         return self
 
@@ -203,7 +218,7 @@ class Predictors:
         made = [self.stored(c) for c in self.counts] or [(np.zeros(n, np.int8), np.zeros(n, np.uint8)) for n in self.sizes]
         return self.frozen([o for o, _ in made], made[-1][1], self.mixer)
 
-    def bits_of(self, symbols: np.ndarray, contexts: list[np.ndarray], step: int = 1 << 12) -> np.ndarray:
+    def bits_of(self, symbols: np.ndarray, contexts: list[np.ndarray], step: int = 1 << 11) -> np.ndarray:
         """Bits that each symbol takes, once frozen."""
         out = np.zeros(len(symbols))
         code = self.code
@@ -211,13 +226,16 @@ class Predictors:
             part = slice(a, a + step)
             at, sizes = code.expand(symbols[part])
             slots = self._slots([c[part] for c in contexts], at, sizes)
-            gate = _at(code.gates, at) + _at(self.sure, slots[-1])
+            last = _at(self.last, slots[-1])
+            gate = (_at(code.gates, at) + (last >> 8)).astype(np.intp)
             z = _at(self.mixer.weights[-1], gate)
             for w, odds, s in zip(self.scaled, self.odds, slots, strict=False):
                 z += _at(w, gate) * _at(odds, s)
+            z += _at(self.scaled[self.tables - 1], gate) * last.astype(np.int8)
             z, _, _ = self.mixer.refined(z, gate)
-            z *= _at(code.sign, at)
-            cost = np.maximum(z, np.float32(0)) + np.log(np.float32(1) + np.exp(-np.abs(z)))
+            np.negative(z, out=z, where=_at(code.bits, at).view(bool))
+            # The code's loss, log(1 + exp(z)): rounding is of no account where z is large.
+            cost = np.log1p(np.exp(np.minimum(z, np.float32(60))))
             out[part] = np.add.reduceat(cost, np.cumsum(sizes) - sizes)
         return out / np.log(2)
 
