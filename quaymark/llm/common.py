@@ -24,7 +24,8 @@ _ROW_BITS = 32768
 
 _own: dict[str, str] = {}
 _held = threading.local()
-_left: list[DataFrame] = []
+#: Folders of results that are left staged, with the session that wrote them: no table is held, nor its plan.
+_left: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,14 +54,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     scopes = getattr(_held, "scopes", None)
-    (scopes[-1] if scopes else _left).append(out)
+    (scopes[-1] if scopes else _left).append((spark, path))
     return out
 
 
 def discard(table: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
-    path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._staged_at)
-    path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(table.sparkSession, table._staged_at)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
@@ -76,10 +81,10 @@ def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
     try:
         out = staged(make(), name)
     finally:
-        for table in scopes.pop():
-            if table is not out:
-                discard(table)
-    (scopes[-1] if scopes else _left).append(out)
+        for spark, folder in scopes.pop():
+            if out is None or folder != out._staged_at:
+                _delete(spark, folder)
+    (scopes[-1] if scopes else _left).append((out.sparkSession, out._staged_at))
     return out
 
 
@@ -87,7 +92,7 @@ def release() -> None:
     """Delete what queries of this process left staged: their results, which nothing reads any more."""
     while _left:
         with contextlib.suppress(Exception):  # a session that has ended deletes nothing
-            discard(_left.pop())
+            _delete(*_left.pop())
 
 
 atexit.register(release)
