@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -775,6 +776,32 @@ def extract_chunks(spark, sf_dir):
     return scans.chunk_bounds(fx.table(spark, sf_dir, "customer"), spec)
 
 
+_EXTRACT = TableSpec("tpch.orders", "core.orders", ("o_orderkey",), (ColumnSpec("o_orderkey", Logical.INT), ColumnSpec("note", target_name="remark"), ColumnSpec("o_totalprice", Logical.DECIMAL, "price", scale=2), ColumnSpec("o_orderdate", Logical.DATE)))
+
+
+@query(
+    """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '\\N' WHEN 3 THEN 'a, "b"' || chr(10) || 'c' ELSE o_orderpriority END AS remark, o_totalprice::DECIMAL(38,2) AS price, o_orderdate::DATE AS o_orderdate,
+        77::BIGINT AS _mig_lsn, false AS _mig_deleted, (SELECT count(*) FROM orders) AS loaded FROM orders"""
+)
+def parts_loaded_rows(spark, sf_dir):
+    """Orders written as compressed parts with a manifest, read back by it, verified, loaded and marked; ``loaded``: rows of marked parts."""
+    folder = f"{_shared(spark).removeprefix('file://')}/quaymark/parts-{uuid.uuid4().hex}"
+    os.makedirs(folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    k = F.col("o_orderkey") % 5
+    note = F.when(k == 0, F.lit(None)).when(k == 1, "").when(k == 2, "\\N").when(k == 3, 'a, "b"\nc').otherwise(F.col("o_orderpriority"))
+    rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"), F.col("o_totalprice").cast("decimal(38,2)").alias("o_totalprice"), F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    names = [c.name for c in _EXTRACT.columns]
+    made = parts.write_parts(rows, folder, "tpch.orders", names, "o_orderkey", rows_per_part=1000, compress=True).collect()  # a row per file
+    parts.write_manifest(parts.manifest(made, "tpch.orders", "core.orders", names, 77, 99), f"{folder}/orders.manifest.json")
+    listed = parts.read_manifests(spark, f"file://{folder}/*.manifest.json").first().asDict(recursive=True)
+    store = VersionedStore(spark, f"file://{folder}/store", buckets=4)
+    parts.load(spark, store, listed, folder, _EXTRACT, "m", F.lit("2024-01-01").cast("timestamp"))
+    schema = f"o_orderkey long, remark string, price decimal(38,2), o_orderdate date, {META_LSN} long, {META_DELETED} boolean"
+    marked = store.table("part_state", control.SCHEMAS["part_state"]).filter("state = 'loaded'").agg(F.sum("rows")).first()[0]
+    return store.table("core_orders", schema).withColumn("loaded", F.lit(marked).cast("long"))
+
+
 _REASONS = [("", "x" * 30, ["a"]), ("ann", "short", ["a"]), ("ann", "ü" * 10, ["a"]), ("ann", "a perfectly good reason", ["b"]), ("ann", "a perfectly good reason", ["b", "a", "c"])]
 
 
