@@ -47,14 +47,18 @@ def test_quality_on_the_held_out_fold(spark):
 def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 1), (9, 0), (10, 0), (None, 1), (11, None), (4, 1)], "doc_id long, quality int")
     field = quality_crf.train(odd_docs, labels)
-    scored = quality_crf.score(odd_docs, field, keep=odd_docs.columns)
-    assert scored.count() == odd_docs.count() and scored.columns == [*odd_docs.columns, "score"] and scored.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
+    others = [c for c in odd_docs.columns if c != "score"]
+    scored = quality_crf.score(odd_docs, field, keep=others)
+    assert scored.count() == odd_docs.count() and scored.columns == [*others, "score"] and scored.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
     assert quality_crf.score(no_docs, field).count() == 0
     assert quality_crf.line_labels(odd_docs.filter("doc_id = 11"), field).count() == 4
     flat = quality_crf.train(no_docs, labels)  # nothing to learn from
     assert quality_crf.score(odd_docs, flat).filter("score BETWEEN 0 AND 1").count() == odd_docs.count()
     with pytest.raises(ValueError):
-        quality_crf.score(odd_docs.withColumn("score", F.lit(1)), field, keep=["doc_id", "score"])
+        quality_crf.score(odd_docs, field, keep=["doc_id", "score"])
+    good = quality_crf.keep_good(odd_docs, field, 0.0)  # whole rows, a column named score among them
+    assert good.columns == odd_docs.columns and sorted(map(repr, good.collect())) == sorted(map(repr, odd_docs.collect()))
+    assert quality_crf.keep_good(no_docs, field, 0.5).count() == 0
 
 
 # Language model
