@@ -1,8 +1,8 @@
-"""Near copies by the Jaccard similarity of word-shingle sets: MinHash bands for candidates, exact verification, components."""
+"""Near copies by the Jaccard similarity of word-shingle sets: SimHash links for candidates, exact verification, components."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,17 +12,10 @@ from pyspark.sql import functions as F
 
 from quaymark.llm import common, simhash
 
-#: Bands and the minima in each. Sets of similarity s share a band with probability 1 - (1 - s^ROWS)^BANDS: 0.9996 at 0.8.
-BANDS, ROWS = 20, 5
-#: Sets of a bucket that meet in one cell; larger buckets are dealt into several.
-CELL = 512
-#: Rounds in which what isn't connected yet meets a few others, and how many.
-ROUNDS, FOLLOWING = 1, 1
-_RNG = np.random.default_rng(42)
-_TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-#: Shingles whose minima are taken at once.
-_BLOCK = 4096
+#: Sets that are compared in one cell, and of all together the shingles; larger groups are dealt into several cells.
+CELL, CELL_SHINGLES = 1024, 1 << 22
+#: A cell has that share of all sets to compare, so that no task stands out, but so many sets where there are few.
+CELL_SHARE, CELL_LEAST = 256, 128
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
@@ -45,165 +38,111 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _bands(of: np.ndarray) -> list[int]:
-    """A key of each band, with the band in it."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(of), _BLOCK):
-        h = of[at : at + _BLOCK, None] * _TIMES + _PLUS
-        h ^= h >> np.uint64(32)
-        np.minimum(low, h.min(axis=0), out=low)
-    rows = low.astype("<u8").reshape(BANDS, ROWS)
-    return [xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)]
-
-
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(``id``, ``key``: the row's ``common.row_key``, ``node`` long: a hash of its set, ``size`` of the set, ``bands``) of each row."""
+def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, words: int) -> DataFrame:
+    """(``id``, ``key``: the row's ``common.row_key``, ``node`` long: a hash of its set, ``size`` of the set, ``words``: its wide fingerprint) of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t.as_py(), width) for t in b.column(1)]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], dtype=np.uint64).view(np.int64)
-            keys = np.array([_bands(s) for s in sets], dtype=np.uint64).reshape(-1).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(range(0, len(keys) + 1, BANDS), pa.int32()), pa.array(keys))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), lists], names=["id", "key", "node", "size", "bands"])
-
-    return docs.select(docs[id_col], docs[text_col].cast("string"), common.row_key(id_col, text_col)).mapInArrow(run, f"id {kind}, key string, node long, size long, bands array<long>")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (``u``, ``v``) whose sets are at least that similar. ``texts``: ``node``, ``text``, one row a node."""
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        uses = rows.groupBy(name).agg(F.count(F.lit(1)).alias("uses"))
-        table = common.staged(uses.join(texts.withColumnRenamed("node", name), name), "jaccard-side")
-        return common.lookup(rows, table.withColumnRenamed("text", f"text_{name}"), [name], "uses", total).drop("uses")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, own = None, None
-        for b in batches:
-            u, v = b.column(0).to_pylist(), b.column(1).to_pylist()
-            near = []
-            for i, (x, y) in enumerate(zip(b.column(2), b.column(3), strict=True)):
-                if u[i] != node:
-                    node, own = u[i], shingles(x.as_py(), width)
-                near.append(jaccard(own, shingles(y.as_py(), width)) >= similarity)
-            yield b.select(["u", "v"]).filter(pa.array(near, pa.bool_())) if u else b.select(["u", "v"])
-
-    total = pairs.count()
-    both = side(side(pairs, "u"), "v").select("u", "v", "text_u", "text_v")
-    with common.batches_of(pairs.sparkSession, 256):
-        return common.staged(both.mapInArrow(run, "u long, v long"), "jaccard-edges")
-
-
-def _hub(nodes: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.zeros(len(nodes) - 1, dtype=np.int64), np.arange(1, len(nodes))
+            prints = np.array([simhash.wide_fingerprint(s, words) for s in sets], dtype=np.uint64).reshape(-1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(range(0, len(prints) + 1, words), pa.int32()), pa.array(prints))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), lists], names=["id", "key", "node", "size", "words"])
 
+    return docs.select(docs[id_col], docs[text_col].cast("string"), common.row_key(id_col, text_col)).mapInArrow(run, f"id {kind}, key string, node long, size long, words array<long>")
 
-def _next_ones(nodes: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each with those that follow it in a circle, of which the order is another one for each seed."""
-    n = len(nodes)
-    order = np.argsort((nodes.astype(np.uint64) ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
-    steps = range(1, min(FOLLOWING, n - 1) + 1)
-    return np.tile(order, len(steps)), np.concatenate([np.roll(order, -d) for d in steps])
 
+def forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges that connect what pairs of at least that Jaccard similarity connect, one less than members.
 
-def _all(nodes: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.triu_indices(len(nodes), 1)
-
-
-def _cell_pairs(batches: Iterator[pa.RecordBatch], choose: Callable, seed: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs that ``choose`` takes of each run of rows of the same cell: not connected yet, of sizes that may be that similar.
-
-    Rows (cell in four columns, node, size, root) come sorted by cell; a cell is bounded, so is the memory.
+    Sets as ``shingles`` gives them. What a set has in common with all others is counted from the places of its shingles.
     """
-
-    def pairs(rows: np.ndarray) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.any(rows[1:, :4] != rows[:-1, :4], axis=1)) + 1
-        out = [np.zeros((0, 2), dtype=np.int64)]
-        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)], strict=True):
-            if y - x < 2:
-                continue
-            nodes, sizes, roots = rows[x:y, 4], rows[x:y, 5], rows[x:y, 6]
-            i, j = choose(nodes, seed ^ int(rows[x, 1]))  # in each bucket in another order
-            fits = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
-            some = (roots[i] != roots[j]) & fits
-            out.append(np.column_stack([np.minimum(nodes[i], nodes[j])[some], np.maximum(nodes[i], nodes[j])[some]]))
-        found = np.unique(np.concatenate(out), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
-
-    held = None
+    n, sizes = len(sets), np.array([len(s) for s in sets], dtype=np.int64)
+    _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owners = np.repeat(np.arange(n), sizes)[np.argsort(inverse, kind="stable")]
+    starts, ends = np.cumsum(counts) - counts, np.cumsum(sizes)
+    left, edges = np.ones(n, dtype=bool), []
+    for first in range(n):
+        queue = [first] if left[first] else []
+        left[first] = False
+        while queue and left.any():
+            u = queue.pop()
+            held = inverse[ends[u] - sizes[u] : ends[u]]
+            held = held[counts[held] > 1]
+            each = counts[held]
+            places = np.repeat(starts[held] - np.cumsum(each) + each, each) + np.arange(each.sum())
+            both = np.bincount(owners[places], minlength=n)
+            near = np.flatnonzero(left & (both / np.maximum(sizes[u] + sizes - both, 1) >= similarity))
+            left[near] = False
+            edges += [(u, int(v)) for v in near]
+            queue += near.tolist()
+    return edges
+
+
+def _cell_edges(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Edges within each run of rows (group, a, b, node, text) of the same cell. Rows come sorted by cell; a cell is bounded, so is the memory."""
+
+    def edges(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        found = [(nodes[i], nodes[j]) for i, j in forest(sets, similarity)] if len(sets) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([f(e) for e in found], pa.int64()) for f in (min, max)], names=["u", "v"])
+
+    cell, nodes, sets = None, [], []
     for b in batches:
-        rows = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(7)])
-        rows = rows if held is None else np.concatenate([held, rows])
-        if not len(rows):
-            continue
-        last = np.flatnonzero(np.any(rows[:, :4] != rows[-1, :4], axis=1))
-        cut = last[-1] + 1 if len(last) else 0
-        held = rows[cut:]
-        if cut:
-            yield pairs(rows[:cut])
-    if held is not None and len(held) > 1:
-        yield pairs(held)
-
-
-def edges(nodes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Edges (``u``, ``v``) that connect all nodes connected by pairs of at least that similarity which share a band.
-
-    nodes: ``node``, ``size``, ``bands``. Members of a bucket aren't compared pair by pair. First each meets the
-    smallest of them; then, in some rounds, those that nothing connects yet meet a few others, another few each time;
-    at last all pairs that are still apart. So a cluster of n like sets costs some n comparisons, and only a pair
-    that nothing connects is sure to be compared itself. Buckets of over CELL nodes are dealt into chunks, anew in
-    each round; at last each two chunks meet in a cell.
+        for *at, node, text in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4), strict=True):
+            if at != cell:
+                if nodes:
+                    yield edges(nodes, sets)
+                cell, nodes, sets = at, [], []
+            nodes.append(node)
+            sets.append(shingles(text.as_py(), width))
+    if nodes:
+        yield edges(nodes, sets)
+
+
+def edges(members: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges (``u``, ``v``) that connect all members of a group connected by pairs of at least that similarity, by exact comparison.
+
+    members: ``node``, ``size``, ``key``, ``group``; texts: ``key``, ``text``. A cell gives the edges of a spanning
+    forest, not its pairs. Larger groups are dealt into chunks, and each two chunks meet in a cell.
     """
-    rows = nodes.select("node", "size", F.posexplode("bands").alias("band", "key")).withColumn("band", F.col("band").cast("long"))
-    rows = common.staged(rows.withColumn("hash", F.xxhash64("band", "key")), "jaccard-bands")
-    several = common.staged(rows.groupBy("band", "key", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "jaccard-buckets")
-    large = several.filter(F.col("n") > CELL).select("band", "key", F.ceil(F.col("n") / (CELL // 2)).alias("chunks"))
-    large = common.staged(large, "jaccard-large")
-    member = common.Bitmap(several.select("hash").distinct()).mark(rows, "hash", "hit").filter("hit").drop("hit")
-    # A broadcast of a size that was looked at; beyond it a shuffle.
-    member = member.join(F.broadcast(large) if large.count() <= 100_000 else large, ["band", "key"], "left")
-    member = common.staged(member.withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long"))), "jaccard-members")
-    texts = common.staged(texts.join(member.select("node").distinct(), "node", "left_semi"), "jaccard-texts")
-    found = tried = None
-    none, by = F.lit(0).cast("long"), ["band", "key", "a", "b"]
-    for seed, choose in enumerate([_hub, *[_next_ones] * ROUNDS, _all]):
-        if found is None:
-            rooted = member.withColumn("root", F.col("node"))
-        else:
-            rooted = member.join(simhash.components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            rooted = common.staged(rooted, "jaccard-rooted")
-            apart = rooted.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("hash")
-            rooted = common.Bitmap(common.staged(apart, "jaccard-apart")).mark(rooted, "hash", "hit").filter("hit")
-        own = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("chunks"))
-        if choose is _all:
-            dealt = rooted.withColumn("own", own).withColumn("other", F.explode(F.sequence(none, F.col("chunks") - 1)))
-            cells = dealt.select("band", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "size", "root")
-        else:
-            cells = rooted.select("band", "key", own.alias("a"), none.alias("b"), "node", "size", "root")
+    total = members.count()
+    cell = min(CELL, max(CELL_LEAST, total // CELL_SHARE))
+    chunks = F.greatest(F.ceil(F.col("members") / (cell // 2)), F.ceil(F.col("shingles") / (CELL_SHINGLES // 2)))
+    chunks = F.when((F.col("members") <= cell) & (F.col("shingles") <= CELL_SHINGLES), F.lit(1).cast("long")).otherwise(chunks)
+    groups = members.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
+    groups = common.staged(groups.select("group", "members", chunks.alias("chunks")), "jaccard-groups")
+    sized = common.lookup(members.select("group", "node", "key"), groups, ["group"], "members", total)
+    sized = common.staged(sized.select("group", "node", "key", "chunks", F.xxhash64("key").alias("hash")), "jaccard-sized")
+    # Only texts of members are shuffled, each of them once here.
+    some = common.Bitmap(sized.select("hash").distinct()).mark(texts.withColumn("hash", F.xxhash64("key")), "hash", "hit").filter("hit").select("key", "text")
+    held = common.staged(some.join(sized, "key").dropDuplicates(["node"]), "jaccard-texts")
+    none, own = F.lit(0).cast("long"), F.pmod(F.xxhash64("node"), F.col("chunks"))
+    dealt = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(none, F.col("chunks") - 1)))
+    by = ["group", "a", "b"]
+    cells = dealt.select("group", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "text")
+    with common.batches_of(members.sparkSession, 256):
         placed = cells.repartition(*by).sortWithinPartitions(*by, "node")
-        pairs = placed.mapInArrow(lambda batches, choose=choose, seed=seed: _cell_pairs(batches, choose, seed, similarity), "u long, v long").distinct()
-        pairs = common.staged(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "jaccard-pairs")
-        more = verified(pairs, texts, width, similarity)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = more if found is None else found.unionByName(more)
-    return found
+        return common.staged(placed.mapInArrow(lambda batches: _cell_edges(batches, width, similarity), "u long, v long").distinct(), "jaccard-edges")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row per input row: id, ``component_id``, ``key``, ``first``, as ``simhash.near_duplicates`` has them.
 
-    Rows whose sets of shingles have at least that Jaccard similarity are linked if they share a band (see BANDS),
-    and no others. Rows with equal sets are one node; null texts and those without words have the empty set.
+    Rows whose sets of shingles have at least that Jaccard similarity are linked if links of the sets' wide SimHash
+    connect them (see ``simhash.blocks_for``), and no others: what those links connect is a group, within which sets
+    are compared exactly. Rows with equal sets are one node; null texts and those without words have the empty set.
     """
-    made = common.staged(sketches(docs, id_col, text_col, width), "jaccard-sketches")
+    blocks, bits, distance = simhash.blocks_for(docs.count(), similarity)
+    made = common.staged(sketches(docs, id_col, text_col, width, simhash.words_for(blocks, bits)), "jaccard-sketches")
     order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("key").alias("key"))
-    nodes = made.groupBy("node").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("rows"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = made.groupBy("node").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("rows"), F.first("size").alias("size"), F.first("words").alias("words"))
     nodes = common.staged(nodes, "jaccard-nodes")
-    own = docs.select(common.row_key(id_col, text_col).alias("key"), docs[text_col].cast("string").alias("text"))
-    texts = own.join(nodes.select(F.col("least.key").alias("key"), "node"), "key").dropDuplicates(["node"]).select("node", "text")
-    reach = common.staged(simhash.components(edges(nodes, texts, width, similarity)), "jaccard-reach")
+    groups = common.staged(simhash.components(simhash.wide_links(nodes, blocks, bits, distance, similarity)), "jaccard-linked")
+    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
+    members = common.staged(nodes.join(groups, "node").select("node", "size", F.col("least.key").alias("key"), F.col("root").alias("group")), "jaccard-members")
+    texts = docs.select(common.row_key(id_col, text_col).alias("key"), docs[text_col].cast("string").alias("text"))
+    reach = common.staged(simhash.components(edges(members, texts, width, similarity)), "jaccard-reach")
     rooted = nodes.join(reach, "node", "left").select("node", "least", "rows", F.coalesce("root", "node").alias("root"))
     rooted = common.staged(rooted, "jaccard-rooted")
     sums = common.staged(rooted.groupBy("root").agg(F.min("least").alias("best"), F.count(F.lit(1)).alias("members")), "jaccard-roots")

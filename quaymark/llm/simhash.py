@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
@@ -18,6 +19,10 @@ from quaymark.llm import common
 BLOCKS = 6
 #: Fingerprints that one task compares with one another; larger buckets are dealt into cells.
 CELL = 4096
+#: Wide fingerprints: words that are compared, standard deviations that a pair may differ by more than it is expected to.
+WORDS, SPREAD = 4, 4.5
+#: Wide fingerprints: how many share a key by chance, the share of pairs at the similarity that share one.
+SHARING, FOUND = 512, 0.9999
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -44,6 +49,39 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(of), bitorder="little").view("<u8")[0])
 
 
+def blocks_for(rows: int, similarity: float) -> tuple[int, int, int]:
+    """(blocks, bits of a block, distance) for wide fingerprints of so many sets, to be linked from that Jaccard similarity on.
+
+    Sets of similarity s differ in a bit with a probability of up to t = arccos(2s / (1 + s)) / pi, so they share a
+    block of k bits with (1 - t)^k: as many blocks as FOUND asks for, of bits that grow with the number of rows.
+    The distance is over 64 * WORDS bits.
+    """
+    t = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    bits = max(0, math.ceil(math.log2(max(rows, 1) / SHARING)))
+    alike = (1 - t) ** bits
+    blocks = 1 if alike == 1 else math.ceil(math.log(1 - FOUND) / math.log(1 - alike))
+    return blocks, bits, math.floor(64 * WORDS * t + SPREAD * math.sqrt(64 * WORDS * t * (1 - t)))
+
+
+def words_for(blocks: int, bits: int) -> int:
+    """Words of a wide fingerprint: those that are compared, then those that are split into blocks."""
+    return WORDS + -(-blocks * bits // 64)
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
+    """SimHash of ``words`` words of 64 bits (uint64): of each hash as many are derived; a bit is 1 if set in over half of them."""
+    ones = np.zeros(64 * words, dtype=np.int64)
+    seeds = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(hashes), 255):  # so that a byte holds a count
+        x = hashes[at : at + 255, None] + seeds
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        set_ = np.unpackbits(x.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(set_, axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8").astype(np.uint64, copy=False)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(``id_col``, ``key``: the row's ``common.row_key``, ``fp`` long: the fingerprint's bits) of each row."""
 
@@ -141,6 +179,90 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     return placed.mapInArrow(lambda batches: _cell_edges(batches, distance), "u long, v long").distinct()
 
 
+def _runs(batches: Iterator[pa.RecordBatch], columns: int, of: int) -> Iterator[np.ndarray]:
+    """Rows (long columns) of each run of rows with the same first ``of`` columns, as they come sorted."""
+    held = None
+    for b in batches:
+        rows = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(columns)])
+        rows = rows if held is None else np.concatenate([held, rows])
+        if not len(rows):
+            continue
+        cuts = np.flatnonzero(np.any(rows[1:, :of] != rows[:-1, :of], axis=1)) + 1
+        for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=False):
+            yield rows[x:y]
+        held = rows[cuts[-1] :] if len(cuts) else rows
+    if held is not None and len(held):
+        yield held
+
+
+def _wide_forest(nodes: np.ndarray, sizes: np.ndarray, words: np.ndarray, distance: int, similarity: float) -> list[tuple[int, int]]:
+    """Edges that connect what pairs within ``distance``, of sizes that may be that similar, connect; one less than members."""
+    each, busy = np.ascontiguousarray(words.T), []
+    for at in range(0, len(nodes), 256):  # most rows are near to no other
+        apart = sum(np.bitwise_count(w[at : at + 256, None] ^ w).astype(np.uint16) for w in each)
+        busy.append(np.count_nonzero(apart <= distance, axis=1) > 1)
+    some = np.concatenate(busy)
+    nodes, sizes, words = nodes[some], sizes[some], words[some]
+    edges = []
+    while len(nodes):
+        queue, nodes, sizes, words = [(nodes[0], sizes[0], words[0])], nodes[1:], sizes[1:], words[1:]
+        while queue and len(nodes):
+            node, size, word = queue.pop()
+            near = np.bitwise_count(words ^ word).sum(axis=1, dtype=np.int64) <= distance
+            near &= np.minimum(sizes, size) >= similarity * np.maximum(sizes, size)
+            if near.any():
+                edges += [(int(node), int(x)) for x in nodes[near]]
+                queue += list(zip(nodes[near], sizes[near], words[near], strict=True))
+                nodes, sizes, words = nodes[~near], sizes[~near], words[~near]
+    return edges
+
+
+def wide_links(prints: DataFrame, blocks: int, bits: int, distance: int, similarity: float) -> DataFrame:
+    """Edges (``u``, ``v``) that connect all wide fingerprints which share a block and differ in up to ``distance`` bits.
+
+    prints: ``node`` (long, distinct), ``size`` of the set, ``words`` (array<long>, ``words_for`` them). Pairs of sizes
+    that can't be ``similarity`` alike aren't linked. Buckets are treated as in ``links``.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+        each = words_for(blocks, bits)
+        for b in batches:
+            n = b.num_rows
+            words = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(n, each)
+            flat = np.unpackbits(np.ascontiguousarray(words[:, WORDS:], dtype="<i8").view(np.uint8), axis=1, bitorder="little")[:, : blocks * bits]
+            keys = flat.reshape(n, blocks, bits) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros((n, blocks), dtype=np.int64)
+            keys = (keys + (np.arange(blocks, dtype=np.int64) << 40)).reshape(-1)
+            if not whole:
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["bucket"])
+                continue
+            columns = [keys, *(np.repeat(c, blocks) for c in (b.column(0).to_numpy(), b.column(1).to_numpy(), *words[:, :WORDS].T))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, 5 + WORDS, 3):
+            if len(rows) > 1:
+                found = _wide_forest(rows[:, 3], rows[:, 4], rows[:, 5:].view(np.uint64), distance, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array([f(e) for e in found], pa.int64()) for f in (min, max)], names=["u", "v"])
+
+    names = ["bucket", "node", "size", *(f"w{i}" for i in range(WORDS))]
+    given = prints.select("node", "size", "words")
+    sizes = given.mapInArrow(lambda batches: keyed(batches, False), "bucket long").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    large = common.staged(sizes.filter(F.col("n") > CELL).select("bucket", F.ceil(F.col("n") / (CELL // 2)).alias("chunks")), "simhash-large")
+    rows = given.mapInArrow(lambda batches: keyed(batches, True), ", ".join(f"{n} long" for n in names))
+    none = F.lit(0).cast("long")
+    n_large = large.count()
+    if not n_large:
+        cells = rows.select("bucket", none.alias("a"), none.alias("b"), *names[1:])
+    else:
+        # A broadcast of a size that was looked at; beyond it a shuffle.
+        sized = rows.join(F.broadcast(large) if n_large <= 100_000 else large, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+        own = F.pmod(F.xxhash64("node"), F.col("chunks"))
+        dealt = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(none, F.col("chunks") - 1)))
+        cells = dealt.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), *names[1:])
+    by = ["bucket", "a", "b"]
+    return cells.repartition(*by).sortWithinPartitions(*by, "node").mapInArrow(edges, "u long, v long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``: the smallest node reachable) of each node of the edges, by large-star and small-star.
 

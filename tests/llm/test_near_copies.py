@@ -1,8 +1,10 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+
 import corpus_pipeline
-from quaymark.llm import shingle_sets
+from quaymark.llm import common, shingle_sets, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -82,3 +84,39 @@ def test_odd_rows_and_no_rows(spark, odd_docs, no_docs):
     assert kept.count() == len({r["component_id"] for r in found})
     assert {r["component_id"] for r in found if r["doc_id"] in (1, 2, 3)} == {1} and {r["component_id"] for r in found if r["doc_id"] in (0, 6, 7)} == {0}
     assert shingle_sets.near_duplicates(no_docs).count() == 0 and shingle_sets.keep_first(no_docs).count() == 0
+
+
+def test_wide_fingerprints_meet_at_the_similarity():
+    """The SimHash blocks that the stage links by find pairs of similarity 0.8, among many rows as among few."""
+    rng = np.random.default_rng(5)
+    for rows in (300, 50_000, 12_000_000):
+        blocks, bits, distance = simhash.blocks_for(rows, 0.8)
+        found = 0
+        for _ in range(500):
+            hashes = rng.integers(0, 1 << 63, 100, dtype=np.uint64) * np.uint64(2)
+            a, b = (simhash.wide_fingerprint(h, simhash.words_for(blocks, bits)) for h in (hashes[:90], np.r_[hashes[:80], hashes[90:]]))
+            parts = np.unpackbits((a ^ b)[simhash.WORDS :].view(np.uint8), bitorder="little")[: blocks * bits].reshape(blocks, bits)
+            found += np.bitwise_count(a ^ b)[: simhash.WORDS].sum() <= distance and not parts.any(axis=1).all()
+        assert found >= 498
+
+
+def test_a_group_that_nothing_links_takes_rows_in_proportion(spark, monkeypatch):
+    """300 texts, each pair some 0.71 alike and few 0.8: what isn't linked is not compared by way of tables of pairs."""
+    rng = random.Random(6)
+    words, rows = [f"w{k}" for k in range(300)], []
+    for k in range(1, 301):
+        some = [5 * x for x in rng.sample(range(1, 59), 5)]
+        rows.append((k, " ".join(f"x{k}" if i in some else w for i, w in enumerate(words))))
+    rows += [(1000 + k, " ".join(f"r{rng.randrange(9000)}" for _ in range(20))) for k in range(800)]
+    made, staged = [], common.staged
+
+    def counted(df, name):
+        made.append(staged(df, name))
+        return made[-1]
+
+    monkeypatch.setattr(common, "staged", counted)
+    want = components_by_hand(rows)
+    found = shingle_sets.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert max(t.count() for t in made) <= 5 * len(rows)
+    assert "simhash" in {t._staged_at.rsplit("/", 1)[1].partition("-")[0] for t in made}
