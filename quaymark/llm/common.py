@@ -181,14 +181,17 @@ def rows_kept(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int, most: int | None = None) -> DataFrame:
     """``rows`` left-joined with ``table``, one row of it a key at most, however many rows a key has.
 
     count: column of ``table`` with the key's number of rows; total: of all rows. Keys with more than a
     thousandth of the rows, hence under a thousand of them, are broadcast; the others, of which none is
     large, are joined by a shuffle. ``count`` stays in the result. Null keys find nothing.
+    most: the largest ``count``, where it is known; if no key is hot, ``rows`` are read once, not for each of the two.
     """
     bar = max(total // HOT_KEYS, 1)
+    if most is not None and most <= bar:
+        return rows.join(table, keys, "left").select(*rows.columns, *[c for c in table.columns if c not in keys])
     columns = [c for c in table.columns if c not in keys]
     hot = table.filter(F.col(count) > bar).select(*keys, F.struct(*columns).alias("__hot"))
     marked = rows.join(F.broadcast(hot), keys, "left")

@@ -16,6 +16,8 @@ import numpy as np
 #: Steps of the map in log-odds from -8 to 8, and gates: eight levels of confidence at each depth in the code.
 MAP_STEPS, DEPTHS = 33, 16
 GATES = DEPTHS * 8
+#: Steps of mixed log-odds in which scoring looks up what a bit costs, and where they end: 32 to a log-odds of one.
+COST_STEPS, COST_END = 769, 12
 #: Steps that a log-odds of one is stored in.
 ODDS_STEPS = 12
 #: Levels of a code whose nodes share a line of a hashed table, of 8 slots.
@@ -70,7 +72,8 @@ class Code:
         self.lengths = np.diff(self.starts)
         self.width = int(self.nodes.max()) + 1 if len(self.nodes) else 1
         depth = np.arange(len(self.nodes)) - np.repeat(self.starts[:-1], self.lengths)
-        self.gates = (np.minimum(depth, DEPTHS - 1) * 8).astype(np.uint8)  # these tables are read at random, so they are small
+        # Gate and bit in one, as they are read together; these tables are read at random, so they are small.
+        self.flags = (np.minimum(depth, DEPTHS - 1) * 8).astype(np.uint8) << 1 | self.bits
         # The node that a line begins with, and the slot in the line: 0, 1 + bit, 3 + both bits.
         step = depth % LEVELS
         place = np.arange(len(self.nodes))
@@ -106,36 +109,38 @@ class Mixer:
             out.seen, out.weights, out.refine = int(sums[0]), both[: out.weights.size].reshape(out.weights.shape), both[out.weights.size :]
         return out
 
-    def refined(self, z: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def refined(self, z: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        """Half of ``z``, half of what the map makes of it between two of its steps."""
         place = np.clip((z + np.float32(8)) * np.float32((MAP_STEPS - 1) / 16), np.float32(0), np.float32(MAP_STEPS - 1.001))
         low = place.astype(np.intp)
-        part = place - low.astype(np.float32)
-        cell = gate * MAP_STEPS
-        cell += low
+        cell = gate * MAP_STEPS + low
         left = _at(self.refine, cell)
-        return np.float32(0.5) * (z + left + (_at(self.refine, cell + 1) - left) * part), cell, part
+        return np.float32(0.5) * (z + left + (_at(self.refine, cell + 1) - left) * (place - low.astype(np.float32)))
 
     def learn(self, x: list[np.ndarray], y: np.ndarray, gate: np.ndarray, rate: float) -> None:
-        """Move weights and map by the errors of a block of bits, all predicted before it."""
+        """Move weights and map by the errors of a block of bits, all predicted before it. ``x`` is used up."""
         z = _at(self.weights[-1], gate)
         for w, xi in zip(self.weights, x, strict=False):
-            z += _at(w, gate) * xi
-        step = rate / np.sqrt(np.bincount(gate, minlength=GATES) + 1)
+            part = _at(w, gate)
+            part *= xi
+            z += part
+        # Of the map the nearest step alone is moved, so that bits are told apart once.
+        place = z * np.float32((MAP_STEPS - 1) / 16)
+        place += np.float32((MAP_STEPS - 1) / 2 + 0.5)
+        cell = np.clip(place, np.float32(0), np.float32(MAP_STEPS - 0.5), out=place).astype(np.intp)
+        cell += gate * MAP_STEPS
+        out = _at(self.refine, cell)
+        out += z
+        out *= np.float32(0.5)
+        seen = np.bincount(cell, minlength=len(self.refine))
+        step = rate / np.sqrt(seen.reshape(GATES, MAP_STEPS).sum(axis=1) + 1)
         miss = y - _chance(z)
-        out, cell, share = self.refined(z, gate)
         for w, xi in zip(self.weights, x, strict=False):
-            w += (step * np.bincount(gate, miss * xi, GATES)).astype(np.float32)
+            xi *= miss
+            w += (step * np.bincount(gate, xi, GATES)).astype(np.float32)
         self.weights[-1] += (step * np.bincount(gate, miss, GATES)).astype(np.float32)
-        miss = y - _chance(out)
-        # Sums for the two steps of the map that a bit lies between: of errors and of shares, in one go each.
-        size = len(self.refine)
-        error, weight = np.bincount(cell, miss, size), np.bincount(cell, minlength=size).astype(np.float64)
-        upper, above = np.bincount(cell, miss * share, size), np.bincount(cell, share, size)
-        error -= upper
-        weight -= above
-        error[1:] += upper[:-1]
-        weight[1:] += above[:-1]
-        self.refine += (0.2 * error / np.sqrt(weight + 1)).astype(np.float32)
+        error = np.bincount(cell, y - _chance(out), len(self.refine))
+        self.refine += (0.2 * error / np.sqrt(seen + 1)).astype(np.float32)
         self.seen += len(y)
 
 
@@ -161,42 +166,56 @@ class Predictors:
         self.sizes = [classes * code.width] + [1 << bits] * (tables - 1)
         self.mixer = Mixer(tables)
         self.counts: list[np.ndarray] = []
+        self.places = self.cost = None  # made where they are used, so that they don't travel
 
     def _slots(self, contexts: list[np.ndarray], at: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        code = self.code
-        out = [np.repeat(contexts[0].astype(np.int64) * code.width, sizes) + _at(code.nodes, at)]
-        line, slot = _at(code.line, at), _at(code.slot, at)
+        """``contexts`` as ``_begins`` makes them."""
+        first = np.repeat(contexts[0], sizes)
+        first += _at(self.code.nodes, at)
+        out, place, last = [first], _at(self.places, at), (1 << self.bits) - 1
         for c in contexts[1:]:
             h = np.repeat(c, sizes)
-            h += line
-            h >>= np.uint32(32 - self.bits + _LINE_BITS)
-            h <<= np.uint32(_LINE_BITS)
-            h += slot
-            out.append(h.astype(np.int64))
+            h += place
+            h &= last
+            out.append(h)
         return out
 
+    def _begins(self, contexts: list[np.ndarray]) -> list[np.ndarray]:
+        """Where each context's slots begin; added to them is the place of a node, modulo the table's size."""
+        shift = np.uint32(32 - self.bits + _LINE_BITS)
+        if self.places is None:
+            self.places = ((self.code.line >> shift).astype(np.int32) << _LINE_BITS) + self.code.slot
+        return [contexts[0].astype(np.int64) * self.code.width, *((c >> shift).astype(np.int64) << _LINE_BITS for c in contexts[1:])]
+
     def learn(self, symbols: np.ndarray, contexts: list[np.ndarray], weight: np.ndarray | None = None, block: int = 1 << 10, rate: float = 0.01) -> None:
         """Predict, correct weights and map, count: block by block. ``weight``: how often each symbol counts."""
         if not self.counts:
             self.counts = [np.zeros(2 * n, dtype=np.uint32) for n in self.sizes]
+        contexts = self._begins(contexts)
         for a in range(0, len(symbols), block):
             part = slice(a, a + block)
             at, sizes = self.code.expand(symbols[part])
-            y = _at(self.code.bits, at)
+            flag = _at(self.code.flags, at)
+            y = flag & np.uint8(1)
             slots = self._slots([c[part] for c in contexts], at, sizes)
             x = []
             for count, s in zip(self.counts, slots, strict=True):
                 pair = _at(count.view(np.uint64), s).view(np.uint32).reshape(-1, 2)
                 both = pair.astype(np.float32)
                 both += np.float32(_PRIOR)
-                n0, n1 = both[:, 0], both[:, 1]
-                x.append(np.log(n1 / n0))
-            gate = _at(self.code.gates, at).astype(np.intp)
-            gate += np.log2(np.minimum(n0 + n1, np.float32(127.6)) + np.float32(1 - 2 * _PRIOR)).astype(np.intp)
+                odds = both[:, 1] / both[:, 0]
+                x.append(np.log(odds, out=odds))
+            # The whole part of log2(n0 + n1 + 1) is the exponent of a float.
+            sure = np.minimum(pair[:, 0] + pair[:, 1], np.uint32(127)).astype(np.float32)
+            sure += np.float32(1)
+            gate = (sure.view(np.int32) >> 23).astype(np.intp)
+            gate += (flag >> np.uint8(1)).astype(np.int16) - 127
             self.mixer.learn(x, y, gate, rate)
             w = np.uint32(1) if weight is None else np.repeat(weight[part], sizes).astype(np.uint32)
             for count, s in zip(self.counts, slots, strict=True):
-                np.add.at(count, 2 * s + y, w)
+                s += s
+                s += y
+                np.add.at(count, s, w)
 
     @staticmethod
     def stored(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,8 +230,15 @@ class Predictors:
         last = np.column_stack([odds[-1].view(np.uint8), sure]).reshape(-1).view("<u2")
         self.odds, self.last, self.mixer, self.counts = odds[:-1], last, mixer, []
         self.scaled = mixer.weights / np.float32(ODDS_STEPS)
+        self.cost = None
         return self
 
+    def _costs(self) -> np.ndarray:
+        """What a bit costs, in the code's natural unit, by gate, step of the mixed log-odds and bit: log(1 + exp(z)) of the refined z, negative for a one."""
+        steps = np.linspace(-COST_END, COST_END, COST_STEPS, dtype=np.float32)
+        z = np.concatenate([self.mixer.refined(steps, np.full(COST_STEPS, g)) for g in range(GATES)]).astype(np.float64)
+        return np.column_stack([np.logaddexp(0, z), np.logaddexp(0, -z)]).astype(np.float32).ravel()
+
     def alone(self) -> Predictors:
         """Frozen with its own counts."""
         made = [self.stored(c) for c in self.counts] or [(np.zeros(n, np.int8), np.zeros(n, np.uint8)) for n in self.sizes]
@@ -222,21 +248,33 @@ class Predictors:
         """Bits that each symbol takes, once frozen."""
         out = np.zeros(len(symbols))
         code = self.code
+        contexts = self._begins(contexts)
+        if self.cost is None:
+            self.cost = self._costs()
+        per_one = (COST_STEPS - 1) / (2 * COST_END)
         for a in range(0, len(symbols), step):
             part = slice(a, a + step)
             at, sizes = code.expand(symbols[part])
             slots = self._slots([c[part] for c in contexts], at, sizes)
-            last = _at(self.last, slots[-1])
-            gate = (_at(code.gates, at) + (last >> 8)).astype(np.intp)
+            last, flag = _at(self.last, slots[-1]), _at(code.flags, at)
+            gate = ((flag >> np.uint8(1)) + (last >> np.uint16(8))).astype(np.intp)
             z = _at(self.mixer.weights[-1], gate)
             for w, odds, s in zip(self.scaled, self.odds, slots, strict=False):
-                z += _at(w, gate) * _at(odds, s)
-            z += _at(self.scaled[self.tables - 1], gate) * last.astype(np.int8)
-            z, _, _ = self.mixer.refined(z, gate)
-            np.negative(z, out=z, where=_at(code.bits, at).view(bool))
-            # The code's loss, log(1 + exp(z)): rounding is of no account where z is large.
-            cost = np.log1p(np.exp(np.minimum(z, np.float32(60))))
-            out[part] = np.add.reduceat(cost, np.cumsum(sizes) - sizes)
+                x = _at(w, gate)
+                x *= _at(odds, s)
+                z += x
+            x = _at(self.scaled[self.tables - 1], gate)
+            x *= last.astype(np.int8)
+            z += x
+            # To the nearest step of a table of costs, the same for both values of a bit.
+            z *= np.float32(per_one)
+            z += np.float32(COST_END * per_one + 0.5)
+            cell = np.clip(z, np.float32(0), np.float32(COST_STEPS - 0.5), out=z).astype(np.intp)
+            gate *= COST_STEPS
+            cell += gate
+            cell += cell
+            cell += flag & np.uint8(1)
+            out[part] = np.add.reduceat(_at(self.cost, cell), np.cumsum(sizes) - sizes)
         return out / np.log(2)
 
 
@@ -267,14 +305,17 @@ class Topics:
         self.weight[:-1] = np.where(some, weight, -64)
         return self
 
-    def count(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """(words, n) sums: each text's frequent words under the class that is likeliest for all of it."""
-        if not len(sizes):
+    def count(self, symbols: np.ndarray, times: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """(words, n) sums: each text's frequent words under the class that is likeliest for all of it.
+
+        symbols: a text's frequent words, each once, for all texts that have any; times: how often; kinds: how many a text has.
+        """
+        if not len(kinds):
             return np.zeros((self.words, self.n), dtype=np.int64)
-        known = np.minimum(symbols, self.words)
-        score = np.add.reduceat(_rows(self.weight, known), np.cumsum(sizes) - sizes, axis=0, dtype=np.int64)
-        at = known * self.n + np.repeat(score.argmax(axis=1), sizes)
-        return np.bincount(at, minlength=(self.words + 1) * self.n)[: self.words * self.n].reshape(self.words, self.n)
+        times = times.astype(np.int64)
+        score = np.add.reduceat(_rows(self.weight, symbols) * times[:, None], np.cumsum(kinds) - kinds, axis=0)
+        at = symbols.astype(np.int64) * self.n + np.repeat(score.argmax(axis=1), kinds)
+        return np.rint(np.bincount(at, times, self.words * self.n)).astype(np.int64).reshape(self.words, self.n)
 
     def before(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The class before each symbol of texts of these sizes, laid end to end.
@@ -284,8 +325,12 @@ class Topics:
         starts = np.cumsum(sizes) - sizes
         place = np.arange(len(symbols), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
         cuts = np.flatnonzero((place & 7 == 0) | (place < 5) & (place != 3))
-        sums = np.add.reduceat(_rows(self.weight, np.minimum(symbols, self.words)), cuts, axis=0)
-        run = np.cumsum(sums, axis=0, dtype=np.int64) - sums
+        # Sums over all frequent words before a place, of all texts; a text's are what they are more than at its start.
+        frequent = symbols < self.words
+        run = np.zeros((np.count_nonzero(frequent) + 1, self.n), dtype=np.int64)
+        np.cumsum(_rows(self.weight, symbols[frequent]), axis=0, out=run[1:])
+        before = np.cumsum(frequent) - frequent
+        run = _rows(run, before[cuts])
         first = np.flatnonzero(place[cuts] == 0)
         run -= np.repeat(run[first], np.diff(np.r_[first, len(cuts)]), axis=0)
         found = run.argmax(axis=1)

@@ -15,9 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +47,26 @@ _CHUNK = 1 << 16
 _LOG2_10 = math.log2(10)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts (strings), one after the other, and how many each has; null counts as empty."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = parts.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty ones
+    before = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return words.filter(some).cast(pa.binary()), np.diff(before[parts.offsets.to_numpy()])
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """A list of words; several times as fast as ``to_pylist``."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Places from and up to which texts of ROW_BYTES or so are read at once."""
+    if len(texts):
+        row = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // ROW_BYTES
+        cuts = [0, *(np.flatnonzero(row[1:] != row[:-1]) + 1).tolist(), len(row)]
+        yield from zip(cuts, cuts[1:], strict=False)
 
 
 def slot_bits(symbols: int) -> int:
@@ -71,59 +87,77 @@ class Lexicon:
             letters[256] += c
         self.letters = Code(letters.tolist())
 
-    def index(self) -> dict[bytes | None, int]:
-        """Symbol of each word, and of None: the end."""
-        return {w: i for i, w in enumerate(self.words)} | {None: self.end}
-
 
 class Streams:
-    """Texts as symbols, laid end to end, and their words outside the lexicon."""
+    """Texts as symbols, laid end to end; words outside the lexicon, each once, and which of them each escape stands for."""
 
-    def __init__(self, lexicon: Lexicon, sizes: np.ndarray, symbols: np.ndarray, rare: list[bytes]):
+    def __init__(self, lexicon: Lexicon, sizes: np.ndarray, symbols: np.ndarray, rare: list[bytes], ids: np.ndarray | None = None):
         self.lexicon, self.sizes, self.symbols, self.rare = lexicon, sizes, symbols, rare
+        self.ids = np.zeros(0, dtype=np.int64) if ids is None else ids
         self.starts = np.cumsum(sizes) - sizes
         self.escaped = symbols == lexicon.escape
 
     @classmethod
-    def of(cls, lexicon: Lexicon, index: dict[bytes | None, int], texts: list[list[bytes]]) -> Streams:
-        flat: list[bytes | None] = []
-        for words in texts:
-            flat += words
-            flat.append(None)
-        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        symbols = np.fromiter(map(index.get, flat, repeat(lexicon.escape)), dtype=np.int64, count=len(flat))
-        return cls(lexicon, sizes, symbols, [flat[i] for i in np.flatnonzero(symbols == lexicon.escape).tolist()])
+    def of(cls, lexicon: Lexicon, known: pa.Array, texts: pa.Array) -> Streams:
+        """known: the lexicon's words."""
+        words, sizes = words_of(texts)
+        coded = words.dictionary_encode()
+        place = coded.indices.to_numpy()
+        symbol = pc.index_in(coded.dictionary, value_set=known)
+        outside = symbol.is_null().to_numpy(zero_copy_only=False)
+        symbol = pc.fill_null(symbol, lexicon.escape).to_numpy().astype(np.int64)
+        sizes = sizes + 1
+        ends = np.cumsum(sizes)
+        symbols = np.full(ends[-1] if len(ends) else 0, lexicon.end, dtype=np.int64)
+        inside = np.ones(len(symbols), dtype=bool)
+        inside[ends - 1] = False
+        symbols[inside] = symbol[place]
+        ids = np.cumsum(outside) - 1
+        return cls(lexicon, sizes, symbols, _listed(coded.dictionary.filter(pa.array(outside))), ids[place[outside[place]]])
 
     def packed(self) -> dict:
         """What ``unpacked`` needs, as columns of a table's row."""
-        return {"sizes": self.sizes.astype("<i4").tobytes(), "symbols": self.symbols.astype("<i4").tobytes(), "rare": b" ".join(self.rare)}
+        return {"sizes": self.sizes.astype("<i4").tobytes(), "symbols": self.symbols.astype("<i4").tobytes(), "rare": b" ".join(self.rare), "ids": self.ids.astype("<i4").tobytes()}
 
     @classmethod
     def unpacked(cls, lexicon: Lexicon, row: pa.RecordBatch) -> Streams:
-        sizes, symbols = (np.frombuffer(row.column(k)[0].as_buffer(), dtype="<i4").astype(np.int64) for k in ("sizes", "symbols"))
-        return cls(lexicon, sizes, symbols, row.column("rare")[0].as_py().split())
+        sizes, symbols, ids = (np.frombuffer(row.column(k)[0].as_buffer(), dtype="<i4").astype(np.int64) for k in ("sizes", "symbols", "ids"))
+        return cls(lexicon, sizes, symbols, row.column("rare")[0].as_py().split(), ids)
+
+    def of_texts(self, some: np.ndarray) -> Streams:
+        """Only these texts."""
+        if some.all():
+            return self
+        mask = np.repeat(some, self.sizes)
+        return Streams(self.lexicon, self.sizes[some], self.symbols[mask], self.rare, self.ids[mask[self.escaped]])
+
+    def frequent(self, words: int) -> dict:
+        """Of each text the symbols below ``words`` that it has, and how often, as columns of a table's row."""
+        at = np.flatnonzero(self.symbols < words)
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)[at]
+        key, times = np.unique(text * max(words, 1) + self.symbols[at], return_counts=True)
+        text, symbol = np.divmod(key, max(words, 1))
+        kinds = np.bincount(text, minlength=len(self.sizes))
+        return {"kinds": kinds[kinds > 0].astype("<i4").tobytes(), "frequent": symbol.astype("<i4").tobytes(), "times": times.astype("<i4").tobytes()}
 
     def contexts(self, topics: Topics) -> list[np.ndarray]:
         """Topic, last word, last two words before each symbol; an end stands before a text."""
         own = self.lexicon.hashes.take(self.symbols, mode="clip")
         if self.rare:
-            own[self.escaped] = mixed(np.fromiter(map(zlib.crc32, self.rare), dtype=np.uint32, count=len(self.rare)))
+            own[self.escaped] = mixed(np.fromiter(map(zlib.crc32, self.rare), dtype=np.uint32, count=len(self.rare)))[self.ids]
         end = self.lexicon.hashes[-1]
         last = np.r_[end, own[:-1]]
         second = np.r_[end, last[:-1]]
         second[self.starts] = end
         return [topics.before(self.symbols, self.sizes), mixed(last + np.uint32(1)), mixed(last * np.uint32(0x9E3779B1) + second)]
 
-    def entries(self, topic: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words outside the lexicon, each once, and of each text, word and topic that go together: text, word's place, topic, number."""
-        words = list(dict.fromkeys(self.rare))
-        place = {w: i for i, w in enumerate(words)}
-        ids = np.fromiter(map(place.__getitem__, self.rare), dtype=np.int64, count=len(self.rare))
+    def entries(self, topic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text, word outside the lexicon and topic that go together: text, word's place, topic, number."""
         text = np.repeat(np.arange(len(self.sizes)), np.add.reduceat(self.escaped, self.starts, dtype=np.int64))
-        key, n = np.unique((text * max(len(words), 1) + ids) * (TOPICS + 1) + topic[self.escaped], return_counts=True)
+        key, n = np.unique((text * max(len(self.rare), 1) + self.ids) * (TOPICS + 1) + topic[self.escaped], return_counts=True)
         key, topic = np.divmod(key, TOPICS + 1)
-        text, ids = np.divmod(key, max(len(words), 1))
-        return words, text, ids, topic, n
+        text, ids = np.divmod(key, max(len(self.rare), 1))
+        return text, ids, topic, n
 
     def passages(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each passage its first symbol, its text, the hash of the symbols before it and of its own.
@@ -263,18 +297,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(``word`` binary, ``c``) of every word of every training text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        held, rows = [], 0
 
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "c"])
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select(["word", "c"])
 
         for b in batches:
-            for t in b.column(0):
-                found.update(words_of(t.as_py()))
-                if len(found) > 1 << 19:
-                    yield batch()
-                    found.clear()
-        yield batch()
+            for x, y in slices(b.column(0)):
+                found = words_of(b.column(0).slice(x, y - x))[0].value_counts()
+                held.append(pa.table({"word": found.field(0), "c": found.field(1)}))
+                rows += len(found)
+                if rows > 1 << 20:
+                    whole = added()
+                    held, rows = [whole], len(whole)
+                    if rows > 1 << 19:
+                        yield from whole.to_batches(1 << 16)
+                        held, rows = [], 0
+        if held:
+            yield from added().to_batches(1 << 16)
 
     return docs.filter("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -304,7 +344,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     streams = common.staged(_streams(docs, lexicon), "lm-streams")
     topics = _topics(streams, lexicon)
     bits = slot_bits(total)
-    learned = common.staged(_tasks(streams, total, TASK_SYMBOLS).mapInArrow(_learner(docs.sparkSession, lexicon, topics, bits), _TABLES), "lm-learned")
+    learned = common.staged(_tasks(streams.select("sizes", "symbols", "rare", "ids", F.col("docs.held_out").alias("held")), total, TASK_SYMBOLS).mapInArrow(_learner(docs.sparkSession, lexicon, topics, bits), _TABLES), "lm-learned")
     model = _added_up(learned, _word_model(lexicon, bits))
     common.discard(learned)
 
@@ -313,25 +353,30 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     common.discard(streams)
 
     used = main.select("rid", "held_out", F.explode("rare").alias("r")).select("rid", "held_out", "r.word", "r.topic", F.col("r.n").alias("times"))
-    by_topic = used.groupBy("word", "topic").agg(F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("times"))).alias("own"), F.count(F.lit(1)).alias("uses"))
-    rare = by_topic.groupBy("word").agg(F.sum("own").alias("c"), *[F.collect_list(x).alias(x) for x in ("topic", "own", "uses")])
+    # Of each word how often training texts have it, and in how many texts it is, by topic: sums that are formed before the shuffle.
+    own, one = F.when(F.col("held_out"), 0).otherwise(F.col("times")), F.lit(1).cast("long")
+    rare = used.groupBy("word").agg(F.sum(own).alias("c"), *[F.sum(F.when(F.col("topic") == k, x).otherwise(0)).alias(f"{name}{k}") for name, x in (("own", own), ("uses", one)) for k in range(TOPICS + 1)])
     rare = common.staged(rare, "lm-rare")
-    pairs, n_bytes, n_used = rare.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (F.size("topic"), F.size("topic") * (F.octet_length("word") + 1), F.aggregate("uses", F.lit(0).cast("long"), lambda a, x: a + x))]).first()
+    uses = [F.col(c) for c in _numbers("uses")]
+    used_in = sum(((x > 0).cast("long") for x in uses), F.lit(0).cast("long"))
+    totals = [used_in, used_in * (F.octet_length("word") + 1), sum(uses, F.lit(0).cast("long"))]
+    pairs, n_bytes, n_used, most = rare.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in totals], F.coalesce(F.max(F.greatest(*uses)), F.lit(0))).first()
     bits = slot_bits(n_bytes)
     # In an order that has nothing to do with their spelling, as online learning needs it.
-    taught = _tasks(rare.filter("c > 0").select("word", "topic", "own"), pairs, TASK_WORDS).sortWithinPartitions(F.xxhash64("word"))
+    taught = _tasks(rare.filter("c > 0").select("word", *_numbers("own")), pairs, TASK_WORDS).sortWithinPartitions(F.xxhash64("word"))
     spelling = common.staged(taught.mapInArrow(_speller(lexicon, bits), _TABLES), "lm-spelling")
     letters = _added_up(spelling, _byte_model(lexicon, bits))
     common.discard(spelling)
     cost = common.staged(_spelled_cost(rare, letters), "lm-spelled")
     common.discard(rare)
-    priced = common.lookup(used.drop("held_out"), cost, ["word", "topic"], "uses", n_used)
+    priced = common.lookup(used.drop("held_out"), cost, ["word", "topic"], "uses", n_used, most)
     sums = priced.groupBy("rid").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("base"),
         F.sum(F.col("times") * F.col("bits")).alias("bits"),
     )
-    saved = _saved(main.select("rid", "held_out", F.explode("passages").alias("p")).select("rid", "held_out", "p.*"))
+    n_passages = main.agg(F.coalesce(F.sum(F.size("passages")), F.lit(0))).first()[0]
+    saved = _saved(main.select("rid", "held_out", F.explode("passages").alias("p")).select("rid", "held_out", "p.*"), n_passages)
     zero = F.lit(0.0)
     bits = F.greatest(F.col("main_bits") + F.coalesce("bits", zero) - F.coalesce("saved", zero), zero)
     return main.drop("rare", "passages").join(sums, "rid", "left").join(saved, "rid", "left").select(
@@ -348,43 +393,36 @@ def _streams(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """All texts as symbols, ROW_BYTES of them to a row, so that later passes need not read and split them again."""
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
     id_kind = docs.schema["id"].dataType
-    schema = f"docs array<struct<rid: long, id: {id_kind.simpleString()}, held_out: boolean, n_bytes: long>>, sizes binary, symbols binary, rare binary, n_train long"
-    names = ["docs", "sizes", "symbols", "rare", "n_train"]
+    schema = f"""docs array<struct<rid: long, id: {id_kind.simpleString()}, held_out: boolean, n_bytes: long>>, sizes binary, symbols binary, rare binary, ids binary,
+        kinds binary, frequent binary, times binary"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = held.value
-        index, rid = lexicon.index(), TaskContext.get().partitionId() << 40
+        known, rid = pa.array(lexicon.words, pa.binary()), TaskContext.get().partitionId() << 40
         for b in batches:
-            size = pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.cumsum(size) // ROW_BYTES
-            cuts = [0, *(np.flatnonzero(row[1:] != row[:-1]) + 1).tolist(), len(row)] if len(row) else []
-            for x, y in zip(cuts, cuts[1:], strict=False):
+            for x, y in slices(b.column(0)):
                 part = b.slice(x, y - x)
-                laid = Streams.of(lexicon, index, [words_of(t.as_py()) for t in part.column(0)])
+                laid = Streams.of(lexicon, known, part.column(0))
                 n = part.num_rows
-                of = pa.StructArray.from_arrays([pa.array(range(rid, rid + n), pa.int64()), part.column(2), part.column(1), pa.array(size[x:y])], names=["rid", "id", "held_out", "n_bytes"])
+                of = pa.StructArray.from_arrays([pa.array(range(rid, rid + n), pa.int64()), part.column(2), part.column(1), pc.binary_length(part.column(0)).cast(pa.int64())], names=["rid", "id", "held_out", "n_bytes"])
                 rid += n
-                learned = ~np.array(part.column(1).to_pylist(), dtype=bool)
-                values = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), of), *(pa.array([v], pa.binary()) for v in laid.packed().values()), pa.array([int(laid.sizes[learned].sum())], pa.int64())]
-                yield pa.RecordBatch.from_arrays(values, names=names)
+                columns = laid.packed() | laid.of_texts(_learned(part.column(1))).frequent(_topic_words(lexicon))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), of), *(pa.array([v], pa.binary()) for v in columns.values())], names=["docs", *columns])
 
     return docs.select("text", "held_out", F.col("id")).mapInArrow(run, schema)
 
 
-def _training(lexicon: Lexicon, row: pa.RecordBatch) -> Streams:
-    """The training texts of a row of streams."""
-    laid = Streams.unpacked(lexicon, row)
-    some = ~np.array(row.column("docs").flatten().field("held_out").to_pylist(), dtype=bool)
-    if some.all():
-        return laid
-    mask = np.repeat(some, laid.sizes)
-    inside = mask[laid.escaped].tolist()
-    return Streams(lexicon, laid.sizes[some], laid.symbols[mask], [w for w, k in zip(laid.rare, inside, strict=True) if k])
+def _learned(held_out: pa.Array) -> np.ndarray:
+    return ~held_out.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _topic_words(lexicon: Lexicon) -> int:
+    return min(TOPIC_WORDS, len(lexicon.words))
 
 
 def _topics(streams: DataFrame, lexicon: Lexicon) -> Topics:
     """Classes of all training texts, found in passes over all of them; a pass sends a number per word and class."""
-    words = min(TOPIC_WORDS, len(lexicon.words))
+    words = _topic_words(lexicon)
     topics = Topics(words, TOPICS).begin(lexicon.counts[:words])
     for _ in range(TOPIC_ROUNDS if words else 0):
 
@@ -392,14 +430,11 @@ def _topics(streams: DataFrame, lexicon: Lexicon) -> Topics:
             sums = np.zeros((topics.words, topics.n), dtype=np.int64)
             for b in batches:
                 for at in range(b.num_rows):
-                    row = b.slice(at, 1)
-                    sizes, symbols = (np.frombuffer(row.column(k)[0].as_buffer(), dtype="<i4") for k in ("sizes", "symbols"))
-                    some = ~np.array(row.column("held")[0].as_py(), dtype=bool)
-                    sums += topics.count(symbols[np.repeat(some, sizes)], sizes[some].astype(np.int64))
+                    sums += topics.count(*(np.frombuffer(b.column(k)[at].as_buffer(), dtype="<i4") for k in ("frequent", "times", "kinds")))
             cell = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sums.ravel()[cell])], names=["cell", "n"])
 
-        found = streams.select("sizes", "symbols", F.col("docs.held_out").alias("held")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        found = streams.select("frequent", "times", "kinds").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
         sums = np.zeros(topics.words * topics.n, dtype=np.int64)
         for r in found.collect():  # words times classes at most
             sums[r["cell"]] = r["n"]
@@ -418,7 +453,8 @@ def _learner(spark, lexicon: Lexicon, topics: Topics, bits: int):
         model = _word_model(lexicon, bits)
         for b in batches:
             for at in range(b.num_rows):
-                laid = _training(lexicon, b.slice(at, 1))
+                row = b.slice(at, 1)
+                laid = Streams.unpacked(lexicon, row).of_texts(_learned(row.column("held")[0].values))
                 if len(laid.symbols):
                     model.learn(laid.symbols, laid.contexts(topics))
         yield from _table_rows(model)
@@ -426,9 +462,16 @@ def _learner(spark, lexicon: Lexicon, topics: Topics, bits: int):
     return run
 
 
-def _of_topics(words: pa.Array, topics: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """A row of ``words`` and a topic for each of a word's topics."""
-    return np.repeat(np.arange(len(words)), np.diff(topics.offsets.to_numpy())), topics.flatten().to_numpy()
+def _numbers(name: str) -> list[str]:
+    """Columns with a number for each topic."""
+    return [f"{name}{k}" for k in range(TOPICS + 1)]
+
+
+def _by_topic(rows: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, topic and number wherever there is one."""
+    of = np.column_stack([rows.column(c).to_numpy() for c in _numbers(name)])
+    row, topic = np.nonzero(of)
+    return row, topic, of[row, topic]
 
 
 def _speller(lexicon: Lexicon, bits: int):
@@ -437,11 +480,9 @@ def _speller(lexicon: Lexicon, bits: int):
         for b in batches:
             for at in range(0, b.num_rows, 1 << 13):
                 part = b.slice(at, 1 << 13)
-                row, topic = _of_topics(part.column(0), part.column(1))
-                own = part.column(2).flatten().to_numpy()
-                some = own > 0
-                symbols, contexts, sizes = spelled(part.column(0).take(pa.array(row[some])).to_pylist(), topic[some])
-                model.learn(symbols, contexts, np.repeat(own[some], sizes))
+                row, topic, own = _by_topic(part, "own")
+                symbols, contexts, sizes = spelled(_listed(part.column(0).take(pa.array(row))), topic)
+                model.learn(symbols, contexts, np.repeat(own, sizes))
         yield from _table_rows(model)
 
     return run
@@ -469,8 +510,8 @@ def _scored(streams: DataFrame, id_kind: str, lexicon: Lexicon, topics: Topics,
                 n = len(laid.sizes)
                 contexts = laid.contexts(topics)
                 each = model.bits_of(laid.symbols, contexts)
-                words, text, ids, topic, times = laid.entries(contexts[0])
-                rare = lists([pa.array(words, pa.binary()).take(pa.array(ids)), pa.array(topic, pa.int32()), pa.array(times, pa.int32())], ["word", "topic", "n"], text, n)
+                text, ids, topic, times = laid.entries(contexts[0])
+                rare = lists([pa.array(laid.rare, pa.binary()).take(pa.array(ids)), pa.array(topic, pa.int32()), pa.array(times, pa.int32())], ["word", "topic", "n"], text, n)
                 begin, text, before, own = laid.passages()
                 ends = np.r_[0.0, np.cumsum(each)]
                 last = np.r_[text[1:] != text[:-1], True] if len(text) else np.zeros(0, dtype=bool)
@@ -479,10 +520,10 @@ def _scored(streams: DataFrame, id_kind: str, lexicon: Lexicon, topics: Topics,
                 sums = [np.add.reduceat(x, laid.starts) for x in (known.take(laid.symbols), price.take(laid.symbols), each)]
                 yield pa.RecordBatch.from_arrays([*part.column("docs").flatten().flatten(), pa.array(laid.sizes), *map(pa.array, sums), rare, passages], names=names)
 
-    return streams.select("docs", "sizes", "symbols", "rare").mapInArrow(run, schema)
+    return streams.select("docs", "sizes", "symbols", "rare", "ids").mapInArrow(run, schema)
 
 
-def _saved(passages: DataFrame) -> DataFrame:
+def _saved(passages: DataFrame, total: int) -> DataFrame:
     """(``rid``, ``saved``): bits by which texts are cheaper where the corpus predicts whole passages.
 
     A context that training texts have at least twice predicts its most frequent passage, as one bit before the
@@ -494,6 +535,7 @@ def _saved(passages: DataFrame) -> DataFrame:
     best = F.max(F.struct("k", "passage")).alias("best")
     seen = counts.groupBy("context").agg(F.sum("k").alias("n"), F.sum("rows").alias("rows"), best).filter("n > 1")
     seen = common.staged(seen.select("context", "n", "rows", F.col("best.k").alias("k"), F.col("best.passage").alias("likely")), "lm-passages")
+    most = seen.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0]
 
     def state(n: Column, k: Column) -> Column:
         return (F.least(F.floor(F.log2(n)), F.lit(15)) * 9 + F.floor(k * 8 / n)).cast("int")
@@ -506,7 +548,7 @@ def _saved(passages: DataFrame) -> DataFrame:
     for r in others.collect():  # a row per state
         chance[r["state"]] = (r["hits"] + 0.2) / (r["hits"] + r["misses"] + 2)
     near = common.Bitmap(seen.select("context")).mark(passages, "context", "hit").filter("hit").drop("hit", "held_out")
-    found = common.lookup(near, seen, ["context"], "rows", passages.count()).filter("n IS NOT NULL")
+    found = common.lookup(near, seen, ["context"], "rows", total, most).filter("n IS NOT NULL")
     p, bits = F.element_at(F.array(*map(F.lit, chance)), state(F.col("n"), F.col("k")) + 1), F.col("bits").cast("double")
     now = F.when(F.col("passage") == F.col("likely"), -F.log2(p + (1 - p) * F.pow(F.lit(2.0), -bits))).otherwise(bits - F.log2(1 - p))
     return found.groupBy("rid").agg(F.sum(bits - now).alias("saved"))
@@ -521,10 +563,10 @@ def _spelled_cost(rare: DataFrame, letters: Predictors) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                row, topic = _of_topics(part.column(0), part.column(1))
+                row, topic, uses = _by_topic(part, "uses")
                 words = part.column(0).take(pa.array(row))
-                symbols, contexts, sizes = spelled(words.to_pylist(), topic)
+                symbols, contexts, sizes = spelled(_listed(words), topic)
                 bits = np.add.reduceat(model.bits_of(symbols, contexts), np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays([words, pa.array(topic, pa.int32()), part.column(2).take(pa.array(row)), part.column(3).flatten(), pa.array(bits)], names=["word", "topic", "c", "uses", "bits"])
+                yield pa.RecordBatch.from_arrays([words, pa.array(topic, pa.int32()), part.column(1).take(pa.array(row)), pa.array(uses), pa.array(bits)], names=["word", "topic", "c", "uses", "bits"])
 
-    return rare.select("word", "topic", "c", "uses").mapInArrow(run, "word binary, topic int, c long, uses long, bits double")
+    return rare.select("word", "c", *_numbers("uses")).mapInArrow(run, "word binary, topic int, c long, uses long, bits double")
