@@ -10,6 +10,7 @@ their weights and maps averaged by the bits that each has seen.
 from __future__ import annotations
 
 import heapq
+from array import array
 
 import numpy as np
 
@@ -47,16 +48,16 @@ def huffman(counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bit[y] = 1
         heapq.heappush(heap, (a + b, made))
         made += 1
-    starts, nodes, bits = [0], [], []
+    starts, nodes, bits = array("q", [0]), array("I"), bytearray()  # long: as Python's numbers they are tens of MB of the driver
     for symbol in range(n):
         path, s = [], symbol
         while s != made - 1:
             path.append((parent[s] - n, bit[s]))
             s = parent[s]
-        nodes += [p for p, _ in reversed(path)]
-        bits += [b for _, b in reversed(path)]
+        nodes.extend(p for p, _ in reversed(path))
+        bits.extend(b for _, b in reversed(path))
         starts.append(len(nodes))
-    return np.array(starts, dtype=np.int64), np.array(nodes, dtype=np.uint32), np.array(bits, dtype=np.uint8)
+    return np.array(starts, dtype=np.int64), np.array(nodes, dtype=np.uint32), np.frombuffer(bytes(bits), dtype=np.uint8)
 
 
 def _at(table: np.ndarray, places: np.ndarray) -> np.ndarray:

@@ -340,6 +340,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     frequent = common.most_frequent(counted.filter(F.octet_length("word") <= LEXICON_BYTES), "c", LEXICON)
     frequent.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     lexicon = Lexicon([bytes(r["word"]) for r in frequent], [r["c"] for r in frequent], words - sum(r["c"] for r in frequent), ends)
+    del frequent
 
     streams = common.staged(_streams(docs, lexicon), "lm-streams")
     topics = _topics(streams, lexicon)

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,62 @@ def test_counts_are_exact_and_lines_hold_seven_nodes():
         assert slot < 7 and seen.setdefault((line, slot), node) == node
 
 
+def test_a_bit_costs_what_its_refined_odds_say():
+    code, symbols, contexts = toy_model()
+    model = context_mixing.Predictors(code, 2, 3, 10)
+    model.learn(symbols, contexts, block=64)
+    model.alone()
+    model.bits_of(symbols[:1], [c[:1] for c in contexts])
+    costs = model.cost.reshape(context_mixing.GATES, context_mixing.COST_STEPS, 2).astype(float)
+    assert np.allclose(np.exp(-costs).sum(axis=2), 1, atol=1e-6)  # of both values of a bit
+    odds = np.linspace(-context_mixing.COST_END, context_mixing.COST_END, context_mixing.COST_STEPS, dtype=np.float32)
+    assert np.allclose(costs[9, :, 0] - costs[9, :, 1], model.mixer.refined(odds, np.full(len(odds), 9)), atol=1e-3)
+
+
+def test_words_and_streams_equal_plain_splitting():
+    texts = ["  A b\tÄ\x0bb a ", None, "", "\x1c b\u00a0c\x85 \r\n zz", "b" * 70 + " a", " "]
+    words, sizes = lm_scoring.words_of(pa.array(["x y"] + texts).slice(1))
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert words.to_pylist() == sum(plain, []) and sizes.tolist() == list(map(len, plain))
+    lexicon = lm_scoring.Lexicon([b"b", b"a"], [3, 2], 1, 1)
+    laid = lm_scoring.Streams.of(lexicon, pa.array(lexicon.words), pa.array(texts))
+    laid = lm_scoring.Streams.unpacked(lexicon, pa.RecordBatch.from_pylist([laid.packed()]))
+    spelled_out = [lexicon.words[s] if s < 2 else b"" if s == lexicon.end else None for s in laid.symbols]
+    rare = iter(laid.rare[i] for i in laid.ids)
+    assert [next(rare) if w is None else w for w in spelled_out] == sum(([*p, b""] for p in plain), [])
+    assert laid.sizes.tolist() == [len(p) + 1 for p in plain] and len(set(laid.rare)) == len(laid.rare)
+    some = laid.of_texts(np.array([False, True, True, True, False, True]))
+    assert [some.rare[i] for i in some.ids] == [w for p in plain[1:4] for w in p if w not in lexicon.words]
+
+
+def test_topics_of_sums_equal_topics_of_symbols():
+    rng = np.random.default_rng(4)
+    lexicon = lm_scoring.Lexicon([b"w%d" % i for i in range(60)], list(range(60, 0, -1)), 1, 1)
+    texts = [[*rng.integers(0, 60, n).tolist(), lexicon.end] for n in [0, 3, 50, 200, 0, 40]]
+    topics = context_mixing.Topics(20, 8).begin(lexicon.counts[:20])
+    laid = lm_scoring.Streams(lexicon, np.array([len(t) for t in texts]), np.concatenate(texts), [])
+    want, before = np.zeros((20, 8), dtype=np.int64), []
+    for t in texts:
+        known = [s for s in t if s < 20]
+        best = topics.weight[known].sum(axis=0).argmax()
+        for s in known:
+            want[s, best] += 1
+        for i in range(len(t)):
+            run = topics.weight[[s for s in t[: i if i < 3 else 2 if i == 3 else 4 if i < 8 else i // 8 * 8] if s < 20]].sum(axis=0)
+            before.append(run.argmax() if run.any() else 8)
+    columns = laid.frequent(20)
+    assert np.array_equal(topics.count(*(np.frombuffer(columns[k], dtype="<i4") for k in ("frequent", "times", "kinds"))), want)
+    assert topics.before(laid.symbols, laid.sizes).tolist() == before
+
+
+def test_lookup_without_hot_keys_equals_lookup_with_them(spark):
+    rows = spark.createDataFrame([(i % 7, i) for i in range(40)] + [(None, 99)], "k int, v int")
+    table = spark.createDataFrame([(k, 6, f"t{k}") for k in range(5)], "k int, n int, name string")
+    plain = common.lookup(rows, table, ["k"], "n", 41)
+    known = common.lookup(rows, table, ["k"], "n", 6000, most=6)
+    assert plain.columns == known.columns and sorted(map(repr, plain.collect())) == sorted(map(repr, known.collect()))
+
+
 def test_mixers_are_averaged_by_what_they_saw():
     code, symbols, contexts = toy_model()
     parts = []
